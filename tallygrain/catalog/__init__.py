@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallygrain.catalog import customers
+from tallygrain.catalog import customers, transactions
 
-MODULES = [customers]
+MODULES = [customers, transactions]
 
 
 def queries() -> dict:

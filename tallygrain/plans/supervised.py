@@ -43,7 +43,6 @@ class FeatureUnion:
 
     @staticmethod
     def _blocks(df, customers, merchants, cols: TxColumns) -> DataFrame:
-        # The joins replace equally named columns, so numeric inputs are kept aside.
         return add_time_features(merchants.transform(customers.transform(df)), cols.time)
 
     @classmethod
@@ -55,7 +54,8 @@ class FeatureUnion:
         numeric = [c for c in numeric if c in train.columns]
         categorical = [c for c in categorical if c in train.columns]
         merchant_names = merchants.feature_names()
-        rows, _ = materialize(cls._inputs(cls._blocks(train, customers, merchants, cols), numeric, categorical, merchant_names), "union")
+        inputs = cls._inputs(train, numeric, categorical)
+        rows, _ = materialize(cls._blocks(inputs, customers, merchants, cols), "union")
         # Profile and time features have no gaps, so only these need a median.
         gaps = [f"num_{c}" for c in numeric] + [c for c in merchant_names if c not in ("merchant_avg_amount", "merchant_tx_count")]
         fills = Fill.using(columns=gaps, strategy="median").fit(rows)
@@ -76,8 +76,8 @@ class FeatureUnion:
         return cls(customers, merchants, numeric, kept_categories, fills, modes, rare, constant, scales, [*scaled_names, *flags])
 
     @staticmethod
-    def _inputs(df: DataFrame, numeric: list[str], categorical: list[str], merchant_names: list[str]) -> DataFrame:
-        """Block columns under names of their own, next to everything else."""
+    def _inputs(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+        """Copies of the plain inputs; the joins below may replace equally named columns."""
         return df.withColumns(
             {
                 **{f"num_{c}": F.col(c).cast("double") for c in numeric},
@@ -88,8 +88,8 @@ class FeatureUnion:
     def transform(self, df: DataFrame, cols: TxColumns = DEFAULT, keep: list[str] = ()) -> DataFrame:
         """The ``keep`` columns and all features, in the order of ``names``."""
         held = df.withColumns({f"_keep_{c}": F.col(c) for c in keep}) if keep else df
-        rows = self._blocks(held, self.customers, self.merchants, cols)
-        rows = self._inputs(rows, self.numeric, self.categorical, self.merchants.feature_names())
+        inputs = self._inputs(held, self.numeric, self.categorical)
+        rows = self._blocks(inputs, self.customers, self.merchants, cols)
         rows = self.scales.transform(self.constant.transform(self.fills.transform(rows)))
         if self.modes:
             present = {c: v for c, v in self.modes.configuration()["fill"].items() if c in rows.columns}
