@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallygrain.catalog import customers, transactions
+from tallygrain.catalog import customers, models, transactions
 
-MODULES = [customers, transactions]
+MODULES = [customers, transactions, models]
 
 
 def queries() -> dict:

@@ -184,19 +184,13 @@ def label_from_class(spark, sf):
 
 def column_pruning(spark, sf):
     """Unnamed, repeated and unwanted columns go; the label is projected apart."""
-    df = orders(spark, sf).withColumn("Unnamed: 0", F.col("TransactionId"))
-    df = df.select("*", F.lit(-1.0).alias("Value"))
-    kept = drop_columns(first_of_each_name(drop_unnamed_positions(df)), ["ChannelId", "ProductCategory", "ProviderId", "absent"])
+    df = drop_unnamed(orders(spark, sf).withColumn("Unnamed: 0", F.col("TransactionId")))
+    twice = df.select("*", F.lit(-1.0).alias("Value"))
+    kept = drop_columns(first_of_each_name(twice), ["ChannelId", "ProductCategory", "ProviderId", "absent"])
     features, label = split_label(kept.drop("TransactionStartTime"), "FraudResult")
     return features.withColumn("n_labels", F.lit(len(label.columns)))
 
 
-def drop_unnamed_positions(df):
-    return drop_unnamed(df.toDF(*[c if c != "Value" else f"Value#{i}" for i, c in enumerate(df.columns)])).toDF(
-        *[c for c in df.columns if not c.startswith("Unnamed")]
-    )
-
-
 def dtype_classes(spark, sf):
     """Class of every column with the number of values it holds."""
     df = table(spark, sf, "events")

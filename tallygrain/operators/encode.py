@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -182,5 +183,12 @@ def feature_names(df: DataFrame, vector: str = "features") -> list[str]:
     return [n.replace("__onehot_", "_") for n in names]
 
 
+def vector_to_columns(df: DataFrame, vector: str, names: list[str], keep: list[str] | None = None) -> DataFrame:
+    """The entries of a vector as named columns, next to ``keep`` (default: all other columns)."""
+    values = vector_to_array(F.col(vector))
+    kept = [c for c in df.columns if c != vector] if keep is None else keep
+    return df.select(*kept, *[values[i].alias(n) for i, n in enumerate(names)])
+
+
 def frequent_flags(column: Column, values: list[str]) -> dict[str, Column]:
     return {v: F.coalesce(column == v, F.lit(False)).cast("int") for v in values}

@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 from datetime import datetime
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrain.columns import DESCRIPTIONS
+from tallygrain.operators.encode import vector_to_columns
 
 FORMATS = ("parquet", "csv")
 
@@ -38,19 +38,13 @@ def write_processed(df: DataFrame, folder: str, fmt: str = "parquet", moment: da
     return write_table(df, os.path.join(folder, stamped_name(fmt, moment)), fmt)
 
 
-def matrix_columns(df: DataFrame, vector: str, names: list[str], keep: list[str] = ()) -> DataFrame:
-    """Spread a feature vector over named columns."""
-    values = vector_to_array(F.col(vector))
-    return df.select(*keep, *[values[i].alias(n) for i, n in enumerate(names)])
-
-
 def write_matrices(
     train: DataFrame, test: DataFrame, folder: str, label: str, vector: str | None = None, names: list[str] | None = None
 ) -> list[str]:
     """X_train, X_test, y_train and y_test as CSV tables with headers."""
     paths = []
     for part, df in (("train", train), ("test", test)):
-        x = matrix_columns(df, vector, names) if vector else df.drop(label)
+        x = vector_to_columns(df, vector, names, []) if vector else df.drop(label)
         for prefix, table in (("X", x), ("y", df.select(label))):
             paths.append(write_table(table, os.path.join(folder, f"{prefix}_{part}"), "csv"))
     return paths
