@@ -39,7 +39,7 @@ class Lookup:
 
 
 def build_lookup(df: DataFrame, keys: list[str], label: str, weight: str | None = None) -> Lookup:
-    """Write a per-key table and measure it in the same job.
+    """Write a per-key table and measure it.
 
     ``weight`` names the column with the number of rows behind each key; it tells
     which keys will dominate a join.

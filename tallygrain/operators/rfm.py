@@ -57,8 +57,8 @@ def rfm_base(
 ) -> tuple[DataFrame, int]:
     """One row per customer with the RFM metrics, written once, plus the row count.
 
-    The latest time is observed while the table is written, so the transactions
-    are scanned once.
+    The latest time is taken from the written table, so the transactions are
+    scanned once.
     """
     grouped = (
         df.where(F.col(cols.customer).isNotNull())

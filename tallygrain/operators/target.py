@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -39,19 +40,23 @@ def log_features(table: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def fit_kmeans(scaled: DataFrame, features: list[str], k: int, seed: int = 42, restarts: int = 10) -> KMeansModel:
-    """Best of several seeded runs by training cost.
+def fit_kmeans(
+    scaled: DataFrame, features: list[str], k: int, seed: int = 42, restarts: int = 10, parallelism: int = 4
+) -> KMeansModel:
+    """Best of several seeded runs by training cost, ``parallelism`` of them at a time.
 
     The assembled vectors are cached for the iterations and released afterwards.
     """
     vectors = VectorAssembler(inputCols=features, outputCol="_v").transform(scaled).select("_v").persist()
+
+    def run(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="cluster", maxIter=300, tol=1e-4).fit(vectors)
+
     try:
-        best = None
-        for i in range(restarts):
-            model = KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="cluster", maxIter=300, tol=1e-4).fit(vectors)
-            if best is None or model.summary.trainingCost < best[0]:
-                best = (model.summary.trainingCost, model)
-        return best[1]
+        vectors.count()  # fill the cache once, before the runs share it
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            models = list(pool.map(run, range(restarts)))
+        return min(models, key=lambda m: m.summary.trainingCost)
     finally:
         vectors.unpersist()
 

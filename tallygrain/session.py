@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def build_session(app: str = "tallygrain", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,17 +63,14 @@ def materialize(
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage in a way that survives executor loss, and keeps column
-    pruning for the readers. ``metrics`` are aggregates observed while the
-    write runs, so they cost no extra pass.
+    pruning for the readers. ``metrics`` are aggregates over the written table, so
+    the source is computed once. (Observed metrics would save that small job, but a
+    session that has used them can no longer ship logistic models to its tasks.)
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    values: dict = {}
-    if metrics:
-        observation = Observation()
-        observed = df.observe(observation, *[c.alias(n) for n, c in metrics.items()])
-        observed.write.mode("errorifexists").parquet(path)
-        values = dict(observation.get)
-    else:
-        df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), values
+    df.write.mode("errorifexists").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if not metrics:
+        return table, {}
+    return table, table.agg(*[c.alias(n) for n, c in metrics.items()]).first().asDict()
