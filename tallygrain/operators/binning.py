@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.operators.order_stats import (
+    Columns,
     cuts_from,
     cuts_passed,
     interpolate,
     pick_ranks,
     quantile_target,
     rank_target,
-    to_long,
 )
 
 
@@ -79,7 +79,7 @@ def fit_scores(
         for i, s in enumerate(scores)
     }
     known = {i: totals[c] for i, c in enumerate(columns)} if totals else None
-    counts, found = pick_ranks(to_long(df, columns), targets, totals=known, **tuning)
+    counts, found = pick_ranks(Columns(df, columns), targets, totals=known, **tuning)
 
     ranked = [i for i, s in enumerate(scores) if s.by == "rank"]
     cuts = {}

@@ -18,6 +18,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,38 +58,99 @@ def rank_target(fraction: float, rank: Callable[[int], int]) -> Target:
     return Target(fraction, lambda n: [rank(n)])
 
 
-def _series_case(per_series: dict[int, Column]) -> Column:
-    items = list(per_series.items())
-    if len(items) == 1:
-        return items[0][1]
-    expr = F.when(F.col("series") == items[0][0], items[0][1])
-    for key, column in items[1:]:
-        expr = expr.when(F.col("series") == key, column)
-    return expr
+CHUNK = 8  # columns per scan branch, so that the generated code stays compilable
 
 
-def _merge(ranges: list[tuple]) -> list[tuple]:
-    merged: list[list] = []
-    for low, high in sorted(ranges):
-        if merged and low <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], high)
-        else:
-            merged.append([low, high])
-    return [tuple(r) for r in merged]
+def value_boundaries(column: str, boundaries: list[float], output: str) -> Bucketizer:
+    """Counts how many boundaries a value reaches: a binary search per row."""
+    return Bucketizer(splits=[-math.inf, *boundaries, math.inf], inputCol=column, outputCol=output, handleInvalid="keep")
+
 
+def just_above(value: float) -> float:
+    return math.nextafter(value, math.inf)
 
-def _slot(ranges: list[tuple] | None) -> Column:
+
+def compared(value: Column, spans: list[tuple] | None) -> Column:
     """Odd slots lie inside a range, even slots in the gaps; None means all inside."""
-    if ranges is None:
+    if spans is None:
         return F.lit(1)
     slot = F.lit(0)
-    for low, high in ranges:
-        slot = slot + (F.col("v") >= F.lit(low)).cast("int") + (F.col("v") > F.lit(high)).cast("int")
+    for low, high in spans:
+        slot = slot + (value >= F.lit(low)).cast("int") + (value > F.lit(high)).cast("int")
     return slot
 
 
-def _with_slots(long: DataFrame, ranges: dict[int, list[tuple] | None]) -> DataFrame:
-    return long.withColumn("slot", _series_case({s: _slot(r) for s, r in ranges.items()}))
+class Columns:
+    """Several numeric columns of one table, each a series numbered by position."""
+
+    def __init__(self, df: DataFrame, columns: list[str]):
+        # Adding 0.0 turns a negative zero into zero, as comparisons treat them alike.
+        self.df = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(columns)])
+        self.size = len(columns)
+
+    def _stack(self, picks: dict[int, list[Column]], df_of) -> DataFrame:
+        """Long form in branches of a few columns; every branch reads only its own."""
+        out = None
+        keys = list(picks)
+        for start in range(0, len(keys), CHUNK):
+            chunk = keys[start : start + CHUNK]
+            entries = F.array(*[F.struct(F.lit(i).alias("series"), *picks[i]) for i in chunk])
+            part = df_of(chunk).select(F.explode(entries).alias("p")).select("p.*")
+            out = part if out is None else out.unionAll(part)
+        return out
+
+    def long(self) -> DataFrame:
+        return self._stack({i: [F.col(f"c{i}").alias("v")] for i in range(self.size)}, lambda _: self.df)
+
+    def slotted(self, ranges: dict[int, list[tuple] | None]) -> DataFrame:
+        bounds = {
+            i: [x for low, high in spans for x in (low, just_above(high))] for i, spans in ranges.items() if spans is not None
+        }
+        searched = {i for i, xs in bounds.items() if all(math.isfinite(x) for x in xs)}
+
+        def with_buckets(chunk: list[int]) -> DataFrame:
+            df = self.df
+            for i in searched.intersection(chunk):
+                df = value_boundaries(f"c{i}", bounds[i], f"b{i}").transform(df)
+            return df
+
+        slot = {i: F.col(f"b{i}").cast("int") if i in searched else compared(F.col(f"c{i}"), r) for i, r in ranges.items()}
+        return self._stack({i: [F.col(f"c{i}").alias("v"), slot[i].alias("slot")] for i in ranges}, with_buckets)
+
+
+class Series:
+    """A long table (series, v) of any sortable type with few wanted ranks."""
+
+    def __init__(self, long: DataFrame):
+        self.table = long
+
+    def long(self) -> DataFrame:
+        return self.table
+
+    def slotted(self, ranges: dict[int, list[tuple] | None]) -> DataFrame:
+        slot = F.lit(None).cast("int")
+        for i, spans in ranges.items():
+            slot = F.when(F.col("series") == i, compared(F.col("v"), spans)).otherwise(slot)
+        return self.table.withColumn("slot", slot).where(F.col("slot").isNotNull())
+
+
+def present(df: DataFrame) -> DataFrame:
+    """Rows with a value: neither NULL nor NaN."""
+    df = df.where(F.col("v").isNotNull())
+    if isinstance(df.schema["v"].dataType, (T.DoubleType, T.FloatType)):
+        df = df.where(~F.isnan("v"))
+    return df
+
+
+def _merge(ranges: list[tuple]) -> list[tuple]:
+    """Disjoint ranges in order; float ranges that touch become one."""
+    merged: list[list] = []
+    for low, high in sorted(ranges):
+        if merged and low <= (just_above(merged[-1][1]) if isinstance(low, float) else merged[-1][1]):
+            merged[-1][1] = max(merged[-1][1], high)
+        else:
+            merged.append([low, high])
+    return [tuple(r) for r in merged]
 
 
 def _bounds_at(fraction: float, accuracy: int) -> list[float]:
@@ -96,11 +158,12 @@ def _bounds_at(fraction: float, accuracy: int) -> list[float]:
     return [max(0.0, fraction - delta), min(1.0, fraction + delta)]
 
 
-def _sketch(long: DataFrame, targets: dict[int, list[Target]], accuracy: int) -> tuple[dict, dict]:
+def _sketch(source: Columns | Series, targets: dict[int, list[Target]], accuracy: int) -> tuple[dict, dict]:
     """Per series: the row count and a value range around every target."""
     points = sorted({p for ts in targets.values() for t in ts for p in _bounds_at(t.fraction, accuracy)})
     rows = (
-        long.groupBy("series")
+        present(source.long())
+        .groupBy("series")
         .agg(
             F.count("*").alias("n"),
             F.min("v").alias("low"),
@@ -124,7 +187,7 @@ def _sketch(long: DataFrame, targets: dict[int, list[Target]], accuracy: int) ->
 
 
 def _narrow(
-    long: DataFrame,
+    source: Columns | Series,
     ranges: dict[int, list[tuple] | None],
     wanted: dict[int, list[int]],
     accuracy: int,
@@ -135,9 +198,8 @@ def _narrow(
         bounded = {s: r for s, r in ranges.items() if r is not None}
         if not bounded:
             return ranges
-        counts = (
-            _with_slots(long, ranges).groupBy("series", "slot").agg(F.count("*").alias("n")).collect()
-        )
+        slotted = present(source.slotted(ranges))
+        counts = slotted.groupBy("series", "slot").agg(F.count("*").alias("n")).collect()
         per_slot = {(r["series"], r["slot"]): r["n"] for r in counts}
         asks: dict[tuple[int, int], list[float]] = {}
         for s, spans in bounded.items():
@@ -156,8 +218,7 @@ def _narrow(
         for s, slot in asks:
             keep = keep | ((F.col("series") == s) & (F.col("slot") == slot))
         inner = (
-            _with_slots(long, ranges)
-            .where(keep)
+            slotted.where(keep)
             .groupBy("series", "slot")
             .agg(F.percentile_approx("v", points, accuracy).alias("at"))
             .collect()
@@ -175,33 +236,25 @@ def _narrow(
     return ranges
 
 
-def _pick(long: DataFrame, ranges: dict[int, list[tuple] | None], wanted: dict[int, list[int]]) -> dict:
+def _pick(source: Columns | Series, ranges: dict[int, list[tuple] | None], wanted: dict[int, list[int]]) -> dict:
+    slotted = present(source.slotted(ranges))
     grouped = (
-        _with_slots(long.where(F.col("series").isin(list(wanted))), ranges)
-        .select("series", "slot", F.when(F.col("slot") % 2 == 1, F.col("v")).alias("v"))
+        slotted.select("series", "slot", F.when(F.col("slot") % 2 == 1, F.col("v")).alias("v"))
         .groupBy("series", "slot", "v")
         .agg(F.count("*").alias("n"))
     )
     running = W.partitionBy("series").orderBy("slot", "v").rowsBetween(W.unboundedPreceding, W.currentRow)
     upto = grouped.withColumn("upto", F.sum("n").over(running)).withColumn("before", F.col("upto") - F.col("n"))
-    hit = _series_case(
-        {
-            s: F.greatest(
-                F.lit(False), *[(F.col("before") < r) & (F.col("upto") >= r) for r in sorted(set(ranks))]
-            )
-            for s, ranks in wanted.items()
-        }
-    )
-    result: dict = {}
-    for row in upto.where(hit & (F.col("slot") % 2 == 1)).collect():
-        for r in wanted[row["series"]]:
-            if row["before"] < r <= row["upto"]:
-                result[(row["series"], r)] = Found(row["v"], row["before"], row["n"])
-    return result
+    pairs = ", ".join(f"({s}, {r}L)" for s, ranks in wanted.items() for r in ranks)
+    ranks = slotted.sparkSession.sql(f"SELECT * FROM VALUES {pairs} AS t(series, rank)")
+    hit = (F.col("before") < F.col("rank")) & (F.col("upto") >= F.col("rank")) & (F.col("slot") % 2 == 1)
+    # One row per wanted rank on the broadcast side.
+    rows = upto.join(F.broadcast(ranks), "series").where(hit).select("series", "rank", "v", "before", "n").collect()
+    return {(r["series"], r["rank"]): Found(r["v"], r["before"], r["n"]) for r in rows}
 
 
 def pick_ranks(
-    long: DataFrame,
+    source: Columns | Series,
     targets: dict[int, list[Target]],
     *,
     totals: dict[int, int] | None = None,
@@ -211,17 +264,13 @@ def pick_ranks(
 ) -> tuple[dict[int, int], dict[tuple[int, int], Found]]:
     """Values at exact ranks of one or more series.
 
-    ``long`` has columns ``series`` (int) and ``v``. Pass ``totals`` when the
-    row counts are already known: small series then skip the sketch.
-    Only the wanted values reach the driver.
+    Pass ``totals`` when the row counts are already known: small series then skip
+    the sketch. Only the wanted values reach the driver.
     """
-    long = long.where(F.col("v").isNotNull())
-    if isinstance(long.schema["v"].dataType, (T.DoubleType, T.FloatType)):
-        long = long.where(~F.isnan("v"))
     if totals is not None and all(n <= small for n in totals.values()):
         ranges: dict = {}
     else:
-        totals, ranges = _sketch(long, targets, accuracy)
+        totals, ranges = _sketch(source, targets, accuracy)
     wanted = {
         s: sorted({r for t in ts for r in t.ranks(totals[s])})
         for s, ts in targets.items()
@@ -232,12 +281,12 @@ def pick_ranks(
         return totals, {}
     ranges = {s: (None if totals[s] <= small else ranges.get(s)) for s in wanted}
     if any(r is not None and totals[s] * 4 / accuracy > limit for s, r in ranges.items()):
-        ranges = _narrow(long, ranges, wanted, accuracy, limit)
-    found = _pick(long, ranges, wanted)
+        ranges = _narrow(source, ranges, wanted, accuracy, limit)
+    found = _pick(source, ranges, wanted)
     missing = {s: ranks for s, ranks in wanted.items() if any((s, r) not in found for r in ranks)}
     if missing:
         # The sketch missed its error bound: look at the whole series.
-        found.update(_pick(long, {s: None for s in missing}, missing))
+        found.update(_pick(source, {s: None for s in missing}, missing))
     return totals, found
 
 
@@ -252,19 +301,6 @@ def interpolate(found: dict, series: int, n: int, p: float) -> float | None:
     return a + (b - a) * (position - low)
 
 
-def to_long(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per (column, value), values as double."""
-    if len(columns) == 1:
-        return df.select(F.lit(0).alias("series"), F.col(columns[0]).cast("double").alias("v"))
-    pairs = F.array(
-        *[
-            F.struct(F.lit(i).alias("series"), F.col(c).cast("double").alias("v"))
-            for i, c in enumerate(columns)
-        ]
-    )
-    return df.select(F.explode(pairs).alias("p")).select("p.series", "p.v")
-
-
 def exact_quantiles(
     df: DataFrame, probabilities: dict[str, list[float]], *, rows: int | None = None, **tuning
 ) -> dict[str, list[float | None]]:
@@ -278,7 +314,7 @@ def exact_quantiles(
     if rows is not None and rows <= tuning.get("small", SMALL):
         counts = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns]).first()
         totals = {i: counts[c] for i, c in enumerate(columns)}
-    totals, found = pick_ranks(to_long(df, columns), targets, totals=totals, **tuning)
+    totals, found = pick_ranks(Columns(df, columns), targets, totals=totals, **tuning)
     return {
         c: [interpolate(found, i, totals.get(i, 0), p) for p in probabilities[c]]
         for i, c in enumerate(columns)
@@ -334,7 +370,7 @@ def cut_points(
         s: [Target(t.fraction, lambda n, t=t: [r for r in t.ranks(n) if r > 0]) for t in ts]
         for s, ts in targets.items()
     }
-    totals, found = pick_ranks(base.select("series", "v"), non_zero, totals=totals, **tuning)
+    totals, found = pick_ranks(Series(base.select("series", "v")), non_zero, totals=totals, **tuning)
     return totals, cuts_from(base, targets, totals, found, **tuning)
 
 
@@ -369,7 +405,7 @@ def cuts_from(
                 g: [rank_target(r / sizes[g], lambda n, r=r: r) for r in open_ties[groups[g]]] for g in easy
             }
             options = tuning if numeric else {**tuning, "small": limit}
-            _, hits = pick_ranks(ties, goals, totals=sizes, **options)
+            _, hits = pick_ranks(Series(ties), goals, totals=sizes, **options)
             for (g, r), hit in hits.items():
                 resolved[(*groups[g], r)] = hit.value
         for g in set(range(len(groups))) - set(easy):

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.columns import numeric_columns
 from tallygrain.functions.amounts import smoothed_log_ratio
-from tallygrain.operators.binning import bin_by_edges
 from tallygrain.operators.fitted import ColumnEstimator, FittedColumns
-from tallygrain.operators.order_stats import exact_quantiles
+from tallygrain.operators.order_stats import CHUNK, exact_quantiles, just_above, value_boundaries
 
 
 class WeightedColumns(FittedColumns):
@@ -22,8 +21,14 @@ class WeightedColumns(FittedColumns):
     """
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        bins = self.configuration()["bins"]
-        return df.withColumns({c: weight_of(F.col(c), b) for c, b in bins.items() if c in df.columns})
+        bins = {c: b for c, b in self.configuration()["bins"].items() if c in df.columns}
+        for i, (c, b) in enumerate(bins.items()):
+            df = with_bins(df, c, b["edges"], f"_bin{i}")
+        weights = {
+            c: F.coalesce(F.get(F.array(*[F.lit(w) for w in b["woe"]]), F.col(f"_bin{i}")), F.lit(b["mean"]))
+            for i, (c, b) in enumerate(bins.items())
+        }
+        return df.withColumns(weights).drop(*[f"_bin{i}" for i in range(len(bins))])
 
     def table(self, spark) -> DataFrame:
         """One row per bin: column, bin, upper edge, counts and weight."""
@@ -35,15 +40,6 @@ class WeightedColumns(FittedColumns):
         return spark.createDataFrame(rows, "column string, bin int, upper double, good long, bad long, woe double")
 
 
-def weight_of(column: Column, bins: dict) -> Column:
-    value = column.cast("double")
-    upper = bins["edges"][1:-1]
-    expr = F.lit(bins["woe"][-1])
-    for edge, woe in reversed(list(zip(upper, bins["woe"]))):
-        expr = F.when(value <= edge, F.lit(woe)).otherwise(expr)
-    return F.when(value.isNull() | F.isnan(value), F.lit(bins["mean"])).otherwise(expr)
-
-
 class WeightOfEvidence(ColumnEstimator):
     """Decile bins with merged duplicate edges; constant columns are left alone."""
 
@@ -55,25 +51,14 @@ class WeightOfEvidence(ColumnEstimator):
         edges = {c: sorted(set(q)) for c, q in quantiles.items() if q[0] is not None and q[0] != q[-1]}
         if not edges:
             return WeightedColumns.of({"bins": {}})
-        entries = F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("c"),
-                    F.when(F.col(c).isNotNull(), bin_by_edges(F.col(c).cast("double"), e[1:-1])).alias("bin"),
-                )
-                for i, (c, e) in enumerate(edges.items())
-            ]
-        )
-        good = F.coalesce(F.col("_y"), F.lit(0.0))
-        counted = (
-            df.select(F.col(label).cast("double").alias("_y"), F.explode(entries).alias("e"))
-            .groupBy("e.c", "e.bin")
-            .agg(F.sum(good).alias("good"), F.count("*").alias("n"))
-            .collect()
-        )
+        counted = []
+        names = list(edges)
+        for start in range(0, len(names), CHUNK):
+            chunk = names[start : start + CHUNK]
+            counted += self._count(df, label, {c: edges[c] for c in chunk})
         state = {}
-        for i, (c, e) in enumerate(edges.items()):
-            mine = [r for r in counted if r["c"] == i]
+        for c, e in edges.items():
+            mine = [r for r in counted if r["c"] == c]
             total_good = sum(r["good"] for r in mine)
             total_bad = sum(r["n"] for r in mine) - total_good
             by_bin = {r["bin"]: r for r in mine if r["bin"] is not None}
@@ -92,6 +77,33 @@ class WeightOfEvidence(ColumnEstimator):
         return WeightedColumns.of({"bins": state})
 
 
+    @staticmethod
+    def _count(df: DataFrame, label: str, edges: dict[str, list[float]]) -> list:
+        """Rows and positives per column and bin: at most bins + 1 rows per column."""
+        for i, (c, e) in enumerate(edges.items()):
+            df = with_bins(df, c, e, f"_bin{i}")
+        entries = F.array(
+            *[F.struct(F.lit(c).alias("c"), F.col(f"_bin{i}").alias("bin")) for i, c in enumerate(edges)]
+        )
+        good = F.coalesce(F.col("_y"), F.lit(0.0))
+        return (
+            df.select(F.col(label).cast("double").alias("_y"), F.explode(entries).alias("e"))
+            .groupBy("e.c", "e.bin")
+            .agg(F.sum(good).alias("good"), F.count("*").alias("n"))
+            .collect()
+        )
+
+
+def with_bins(df: DataFrame, column: str, edges: list[float], output: str) -> DataFrame:
+    """Right-closed bin number, NULL for missing values; the outer bins are open."""
+    value = f"{output}_value"
+    df = df.withColumn(value, F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None)))
+    bounds = [just_above(e) for e in edges[1:-1]]
+    if not bounds:
+        return df.withColumn(output, F.when(F.col(value).isNotNull(), F.lit(0))).drop(value)
+    return value_boundaries(value, bounds, output).transform(df).withColumn(output, F.col(output).cast("int")).drop(value)
+
+
 def woe_by_category(df: DataFrame, category: str, label: str) -> DataFrame:
     """The smoothed log ratio per category value."""
     per = df.groupBy(category).agg(F.sum(label).alias("good"), (F.count("*") - F.sum(label)).alias("bad"))
