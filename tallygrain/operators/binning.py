@@ -68,7 +68,7 @@ def fit_scores(
 
     All columns are located in the same pass; the returned expressions contain
     only literals, so applying them needs no shuffle. Rank scores break ties by
-    ``key``, ascending.
+    ``key``, ascending. ``totals`` are known row counts; no column may have gaps then.
     """
     columns = [s.column for s in scores]
     probabilities = [k / q for k in range(q + 1)]
@@ -79,6 +79,8 @@ def fit_scores(
         for i, s in enumerate(scores)
     }
     known = {i: totals[c] for i, c in enumerate(columns)} if totals else None
+    if totals:
+        tuning = {"table_rows": max(totals.values()), **tuning}
     counts, found = pick_ranks(Columns(df, columns), targets, totals=known, **tuning)
 
     ranked = [i for i, s in enumerate(scores) if s.by == "rank"]

@@ -110,7 +110,7 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = HISTO
         entries.append(
             F.struct(
                 F.lit(c).alias("column"),
-                F.least(position, F.lit(bins - 1)).alias("bin"),
+                F.when(position.isNotNull(), F.least(position, F.lit(bins - 1))).alias("bin"),
                 F.lit(low).alias("from"),
                 F.lit((high - low) / bins).alias("width"),
             )

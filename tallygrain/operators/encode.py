@@ -75,16 +75,17 @@ class Scale(ColumnEstimator):
             return ScaledColumns.of({"scales": scales})
         if method not in ("standard", "scale_only", "minmax"):
             raise ValueError(f"unknown scaling method: {method}")
-        pick = {"standard": (F.avg, F.stddev_pop), "scale_only": (F.avg, F.stddev_pop), "minmax": (F.min, F.max)}[method]
+        pick = {"a": F.avg, "s": F.stddev_pop, "low": F.min, "high": F.max}
         row = df.agg(
-            *[f(F.col(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in zip("ab", pick)]
+            *[f(F.col(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in pick.items()]
         ).first()
         for i, c in enumerate(columns):
-            a, b = row[f"a{i}"] or 0.0, row[f"b{i}"] or 0.0
+            mean, std, low, high = (row[f"{k}{i}"] or 0.0 for k in pick)
             if method == "minmax":
-                scales[c] = (a, (b - a) or 1.0)
+                scales[c] = (low, (high - low) or 1.0)
             else:
-                scales[c] = (a if method == "standard" else 0.0, b or 1.0)
+                # Merged partial deviations of a constant may differ from 0 by rounding.
+                scales[c] = (mean if method == "standard" else 0.0, (std if low < high else 0.0) or 1.0)
         return ScaledColumns.of({"scales": scales})
 
 

@@ -56,7 +56,7 @@ def class_metrics(counts: DataFrame) -> DataFrame:
 def log_loss(df: DataFrame, label: str, score: str) -> DataFrame:
     p = F.greatest(F.least(F.col(score), F.lit(1 - PROBABILITY_CLIP)), F.lit(PROBABILITY_CLIP))
     loss = F.when(F.col(label) == 1, -F.log(p)).otherwise(-F.log(1 - p))
-    return df.agg(F.avg(loss).alias("log_loss"))
+    return df.where(F.col(score).isNotNull()).agg(F.avg(loss).alias("log_loss"))
 
 
 @dataclass(frozen=True)

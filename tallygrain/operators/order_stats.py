@@ -70,6 +70,14 @@ def just_above(value: float) -> float:
     return math.nextafter(value, math.inf)
 
 
+_SUMMARY = ("n", "low", "high", "at")
+
+
+def _summary(value: Column, points: list[float], accuracy: int) -> dict[str, Column]:
+    parts = (F.count(value), F.min(value), F.max(value), F.percentile_approx(value, points, accuracy))
+    return dict(zip(_SUMMARY, parts))
+
+
 def compared(value: Column, spans: list[tuple] | None) -> Column:
     """Odd slots lie inside a range, even slots in the gaps; None means all inside."""
     if spans is None:
@@ -102,6 +110,15 @@ class Columns:
     def long(self) -> DataFrame:
         return self._stack({i: [F.col(f"c{i}").alias("v")] for i in range(self.size)}, lambda _: self.df)
 
+    def summary(self, points: list[float], accuracy: int) -> list[dict]:
+        """Count, ends and sketch of every series from one plain aggregate."""
+        stats = []
+        for i in range(self.size):
+            c = F.nanvl(F.col(f"c{i}"), F.lit(None))
+            stats += [part.alias(f"{name}{i}") for name, part in _summary(c, points, accuracy).items()]
+        row = self.df.agg(*stats).first()
+        return [{"series": i, **{k: row[f"{k}{i}"] for k in _SUMMARY}} for i in range(self.size)]
+
     def slotted(self, ranges: dict[int, list[tuple] | None]) -> DataFrame:
         bounds = {
             i: [x for low, high in spans for x in (low, just_above(high))] for i, spans in ranges.items() if spans is not None
@@ -127,6 +144,11 @@ class Series:
     def long(self) -> DataFrame:
         return self.table
 
+    def summary(self, points: list[float], accuracy: int) -> list[dict]:
+        stats = _summary(F.col("v"), points, accuracy)
+        grouped = present(self.table).groupBy("series").agg(*[c.alias(name) for name, c in stats.items()])
+        return [r.asDict() for r in grouped.collect()]
+
     def slotted(self, ranges: dict[int, list[tuple] | None]) -> DataFrame:
         slot = F.lit(None).cast("int")
         for i, spans in ranges.items():
@@ -161,19 +183,12 @@ def _bounds_at(fraction: float, accuracy: int) -> list[float]:
 def _sketch(source: Columns | Series, targets: dict[int, list[Target]], accuracy: int) -> tuple[dict, dict]:
     """Per series: the row count and a value range around every target."""
     points = sorted({p for ts in targets.values() for t in ts for p in _bounds_at(t.fraction, accuracy)})
-    rows = (
-        present(source.long())
-        .groupBy("series")
-        .agg(
-            F.count("*").alias("n"),
-            F.min("v").alias("low"),
-            F.max("v").alias("high"),
-            F.percentile_approx("v", points, accuracy).alias("at"),
-        )
-        .collect()
-    )
+    rows = source.summary(points, accuracy)
     totals, ranges = {}, {}
     for row in rows:
+        if not row["n"]:
+            totals[row["series"]] = 0
+            continue
         at = dict(zip(points, row["at"]))
         totals[row["series"]] = row["n"]
         spans = []
@@ -236,8 +251,15 @@ def _narrow(
     return ranges
 
 
-def _pick(source: Columns | Series, ranges: dict[int, list[tuple] | None], wanted: dict[int, list[int]]) -> dict:
+def _pick(
+    source: Columns | Series,
+    ranges: dict[int, list[tuple] | None],
+    wanted: dict[int, list[int]],
+    one_task: bool = False,
+) -> dict:
     slotted = present(source.slotted(ranges))
+    if one_task:
+        slotted = slotted.coalesce(1)  # spares a small table three shuffles
     grouped = (
         slotted.select("series", "slot", F.when(F.col("slot") % 2 == 1, F.col("v")).alias("v"))
         .groupBy("series", "slot", "v")
@@ -261,11 +283,14 @@ def pick_ranks(
     accuracy: int = ACCURACY,
     limit: int = LIMIT,
     small: int = SMALL,
+    table_rows: int | None = None,
 ) -> tuple[dict[int, int], dict[tuple[int, int], Found]]:
     """Values at exact ranks of one or more series.
 
     Pass ``totals`` when the row counts are already known: small series then skip
-    the sketch. Only the wanted values reach the driver.
+    the sketch. ``table_rows`` is a known bound for the rows of the whole source
+    table; a small one is read by a single task. Only the wanted values reach the
+    driver.
     """
     if totals is not None and all(n <= small for n in totals.values()):
         ranges: dict = {}
@@ -282,7 +307,8 @@ def pick_ranks(
     ranges = {s: (None if totals[s] <= small else ranges.get(s)) for s in wanted}
     if any(r is not None and totals[s] * 4 / accuracy > limit for s, r in ranges.items()):
         ranges = _narrow(source, ranges, wanted, accuracy, limit)
-    found = _pick(source, ranges, wanted)
+    one_task = table_rows is not None and table_rows <= small and all(r is None for r in ranges.values())
+    found = _pick(source, ranges, wanted, one_task)
     missing = {s: ranks for s, ranks in wanted.items() if any((s, r) not in found for r in ranks)}
     if missing:
         # The sketch missed its error bound: look at the whole series.
@@ -297,6 +323,8 @@ def interpolate(found: dict, series: int, n: int, p: float) -> float | None:
     position = (n - 1) * p
     low = math.floor(position)
     a = float(found[(series, low + 1)].value)
+    if position == low:
+        return a
     b = float(found[(series, min(low + 2, n))].value)
     return a + (b - a) * (position - low)
 
@@ -314,6 +342,7 @@ def exact_quantiles(
     if rows is not None and rows <= tuning.get("small", SMALL):
         counts = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns]).first()
         totals = {i: counts[c] for i, c in enumerate(columns)}
+        tuning = {**tuning, "table_rows": rows}
     totals, found = pick_ranks(Columns(df, columns), targets, totals=totals, **tuning)
     return {
         c: [interpolate(found, i, totals.get(i, 0), p) for p in probabilities[c]]
@@ -404,7 +433,7 @@ def cuts_from(
             goals = {
                 g: [rank_target(r / sizes[g], lambda n, r=r: r) for r in open_ties[groups[g]]] for g in easy
             }
-            options = tuning if numeric else {**tuning, "small": limit}
+            options = tuning if numeric else {**tuning, "small": max(limit, tuning.get("small", SMALL))}
             _, hits = pick_ranks(Series(ties), goals, totals=sizes, **options)
             for (g, r), hit in hits.items():
                 resolved[(*groups[g], r)] = hit.value

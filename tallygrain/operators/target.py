@@ -72,7 +72,7 @@ def nearest_centroid(features: list[str], centroids: list[list[float]]) -> Colum
     for i, d in enumerate(distances[1:], start=1):
         index = F.when(d < best, F.lit(i)).otherwise(index)
         best = F.least(best, d)
-    return index
+    return F.when(best.isNotNull(), index)
 
 
 def cluster_means(table: DataFrame, columns: list[str], cluster: str = "cluster") -> DataFrame:

@@ -20,6 +20,7 @@ def build_session(app: str = "tallygrain", master: str | None = None, **conf: st
     settings = {
         "spark.sql.session.timeZone": "UTC",
         **HUGE_METHOD,
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
