@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallygrain.catalog import customers, models, transactions
+from tallygrain.catalog import customers, models, profiling, transactions
 
-MODULES = [customers, transactions, models]
+MODULES = [customers, transactions, models, profiling]
 
 
 def queries() -> dict:
