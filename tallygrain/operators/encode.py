@@ -32,13 +32,16 @@ class Fill(ColumnEstimator):
     """median (exact), mean, most_frequent or constant.
 
     A numeric column without any value is dropped, as there is nothing to fill with.
+    ``rows`` is a known bound for the rows of the table, if there is one.
     """
 
-    def learn(self, df: DataFrame, columns: list[str], strategy: str = "median", value=None) -> FilledColumns:
+    def learn(
+        self, df: DataFrame, columns: list[str], strategy: str = "median", value=None, rows: int | None = None
+    ) -> FilledColumns:
         if strategy == "constant":
             fill = {c: value for c in columns}
         elif strategy == "median":
-            fill = {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in columns}).items()}
+            fill = {c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in columns}, rows=rows).items()}
         elif strategy == "mean":
             row = df.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"{i}") for i, c in enumerate(columns)]).first()
             fill = {c: row[i] for i, c in enumerate(columns)}
@@ -160,11 +163,12 @@ def preprocessing(
     categorical_strategy: str = "constant",
     scaling: str | None = "standard",
     output: str = "features",
+    rows: int | None = None,
 ) -> Pipeline:
     """Impute, scale, encode and assemble; other columns do not enter the vector."""
     stages = []
     if numeric:
-        stages.append(Fill.using(columns=numeric, strategy=numeric_strategy, value=0.0))
+        stages.append(Fill.using(columns=numeric, strategy=numeric_strategy, value=0.0, rows=rows))
         if scaling:
             stages.append(Scale.using(columns=numeric, method=scaling))
     if categorical:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.columns import DEFAULT, TxColumns
 from tallygrain.operators.joins import Lookup, build_lookup, lookup_join
+from tallygrain.session import materialize
 
 MERCHANT_FEATURES = [
     "merchant_avg_amount",
@@ -32,14 +33,15 @@ def merchant_statistics(df: DataFrame, cols: TxColumns = DEFAULT, with_fraud: bo
 def merchant_affinity(df: DataFrame, cols: TxColumns = DEFAULT) -> DataFrame:
     """Share of a customer's transactions that went to each merchant.
 
-    The totals come from the pair counts, so the transactions are aggregated once
-    (both sides of the join read the same shuffle).
+    The pair counts are written once: totals and shares both come from that table,
+    so the transactions are aggregated once. Pairs without a merchant count towards
+    the customer's total only.
     """
-    # Pairs without a merchant count towards the customer's total only.
-    pairs = (
+    pairs, _ = materialize(
         df.where(F.col(cols.customer).isNotNull())
         .groupBy(cols.customer, cols.provider)
-        .agg(F.count("*").alias("tx_count"))
+        .agg(F.count("*").alias("tx_count")),
+        "pairs",
     )
     totals = pairs.groupBy(cols.customer).agg(F.sum("tx_count").alias("total_tx"))
     return (

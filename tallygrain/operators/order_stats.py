@@ -93,7 +93,7 @@ class Columns:
 
     def __init__(self, df: DataFrame, columns: list[str]):
         # Adding 0.0 turns a negative zero into zero, as comparisons treat them alike.
-        self.df = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(columns)])
+        self.df = df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(columns)])
         self.size = len(columns)
 
     def _stack(self, picks: dict[int, list[Column]], df_of) -> DataFrame:
@@ -334,16 +334,18 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolation quantiles of several columns in one go.
 
-    ``rows`` is an upper bound of the row count when the caller knows one.
+    ``rows`` is an upper bound of the row count when the caller knows one; a small
+    table is then served by Spark's own ``percentile`` in a single aggregate.
     """
     columns = list(probabilities)
-    targets = {i: [quantile_target(p) for p in probabilities[c]] for i, c in enumerate(columns)}
-    totals = None
     if rows is not None and rows <= tuning.get("small", SMALL):
-        counts = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns]).first()
-        totals = {i: counts[c] for i, c in enumerate(columns)}
-        tuning = {**tuning, "table_rows": rows}
-    totals, found = pick_ranks(Columns(df, columns), targets, totals=totals, **tuning)
+        values = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in columns]
+        found = df.agg(
+            *[F.percentile(v, F.array(*map(F.lit, probabilities[c]))).alias(f"q{i}") for i, (c, v) in enumerate(zip(columns, values))]
+        ).first()
+        return {c: found[i] if found[i] is not None else [None] * len(probabilities[c]) for i, c in enumerate(columns)}
+    targets = {i: [quantile_target(p) for p in probabilities[c]] for i, c in enumerate(columns)}
+    totals, found = pick_ranks(Columns(df, columns), targets, **tuning)
     return {
         c: [interpolate(found, i, totals.get(i, 0), p) for p in probabilities[c]]
         for i, c in enumerate(columns)

@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallygrain.functions.timefeat import micros
 from tallygrain.operators.order_stats import cut_points, cuts_passed, rank_target
@@ -130,7 +131,10 @@ def stratified_folds(
     sizes = fold_sizes(counts, k)
     series = class_series(label, classes)
     tie = F.col(key)
-    order = hash_order(key, seed) if seed is not None else F.col(key).cast("long")
+    if seed is not None:
+        order = hash_order(key, seed)
+    else:  # text keys are ordered by the tie column alone
+        order = F.col(key) if isinstance(df.schema[key].dataType, T.NumericType) else F.lit(0)
     targets = {}
     for c, per_fold in enumerate(sizes):
         ends = [sum(per_fold[: i + 1]) for i in range(k - 1)]

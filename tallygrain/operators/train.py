@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -11,7 +12,6 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,14 +116,6 @@ def classifier(family: str, settings: dict, label: str, features: str, weight_su
     raise ValueError(f"unsupported model family: {family}")
 
 
-class _Candidates:
-    """A list of ready estimators tried by Spark's cross validator."""
-
-    def __init__(self, head: list, tails: list):
-        self.pipeline = Pipeline(stages=[*head, tails[0]])
-        self.grid = [{self.pipeline.stages: [*head, tail]} for tail in tails]
-
-
 @dataclass
 class Trained:
     family: str
@@ -156,8 +148,7 @@ def search_model(
 ) -> Trained:
     """Cross-validated search over a list of settings, refit on all rows.
 
-    Folds are exact stratified folds computed beforehand; Spark runs
-    ``parallelism`` distributed fits at a time.
+    Folds are exact stratified folds; with ``seed`` None they follow the key's order.
     """
     weighted = add_class_weight(train, label)
     weight_sum = float(weighted.count())  # balanced weights add up to the row count
@@ -165,23 +156,35 @@ def search_model(
     tails = [classifier(family, s, label, features, weight_sum, seed or 42) for s in settings]
     if len(settings) == 1 and folds < 2:
         return Trained(family, Pipeline(stages=[*head, tails[0]]).fit(weighted), None, settings[0])
-    folded = stratified_folds(weighted, key, label, folds, seed, "fold").persist()
-    try:
-        candidates = _Candidates(head, tails)
-        validator = CrossValidator(
-            estimator=candidates.pipeline,
-            estimatorParamMaps=candidates.grid,
-            evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        fitted = validator.fit(folded)
-    finally:
-        folded.unpersist()
-    scores = list(zip([params_text(s) for s in settings], [float(m) for m in fitted.avgMetrics]))
-    best = max(range(len(settings)), key=lambda i: fitted.avgMetrics[i])
-    return Trained(family, fitted.bestModel, float(fitted.avgMetrics[best]), settings[best], scores)
+    areas = cross_validate(stratified_folds(weighted, key, label, folds, seed, "fold"), head, tails, label, folds, parallelism)
+    best = max(range(len(settings)), key=lambda i: areas[i])
+    final = Pipeline(stages=[*head, tails[best]]).fit(weighted)
+    return Trained(family, final, areas[best], settings[best], list(zip([params_text(s) for s in settings], areas)))
+
+
+def cross_validate(
+    folded: DataFrame, head: list, tails: list, label: str, folds: int, parallelism: int = 4
+) -> list[float]:
+    """Mean area under the ROC curve of every candidate.
+
+    The preprocessing does not depend on the candidate, so it is fitted once per
+    fold and its output is shared; the candidates of a fold are then fitted
+    ``parallelism`` at a time, each as distributed jobs.
+    """
+    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
+    totals = [0.0] * len(tails)
+    for f in range(folds):
+        prepared = Pipeline(stages=head).fit(folded.where(F.col("fold") != f))
+        rows = prepared.transform(folded).persist()
+        fit_rows, held = rows.where(F.col("fold") != f), rows.where(F.col("fold") == f)
+        try:
+            rows.count()  # fill the cache once, before the candidates share it
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                areas = list(pool.map(lambda tail: evaluator.evaluate(tail.fit(fit_rows).transform(held)), tails))
+        finally:
+            rows.unpersist()
+        totals = [t + a / folds for t, a in zip(totals, areas)]
+    return totals
 
 
 def standard_head(numeric: list[str], features: str = "features") -> list:
@@ -192,9 +195,11 @@ def standard_head(numeric: list[str], features: str = "features") -> list:
     ]
 
 
-def preprocessed_head(numeric: list[str], categorical: list[str], features: str = "features") -> list:
+def preprocessed_head(
+    numeric: list[str], categorical: list[str], features: str = "features", rows: int | None = None
+) -> list:
     """Impute, scale and encode inside the cross validation."""
-    return preprocessing(numeric, categorical, output=features).getStages()
+    return preprocessing(numeric, categorical, output=features, rows=rows).getStages()
 
 
 def train_families(

@@ -55,10 +55,10 @@ class FeatureUnion:
         categorical = [c for c in categorical if c in train.columns]
         merchant_names = merchants.feature_names()
         inputs = cls._inputs(train, numeric, categorical)
-        rows, _ = materialize(cls._blocks(inputs, customers, merchants, cols), "union")
+        rows, seen = materialize(cls._blocks(inputs, customers, merchants, cols), "union", {"rows": F.count(F.lit(1))})
         # Profile and time features have no gaps, so only these need a median.
         gaps = [f"num_{c}" for c in numeric] + [c for c in merchant_names if c not in ("merchant_avg_amount", "merchant_tx_count")]
-        fills = Fill.using(columns=gaps, strategy="median").fit(rows)
+        fills = Fill.using(columns=gaps, strategy="median", rows=seen["rows"]).fit(rows)
         filled = fills.transform(rows)
         variable = [c for c in [*PROFILE_FEATURES, *[f"num_{c}" for c in numeric]] if c in filled.columns]
         constant = DropConstant.using(columns=variable).fit(filled)
@@ -154,9 +154,9 @@ def preprocess_data(
         train, test = stratified_split(rows, cols.transaction, target_col, test_size, seed)
     union = FeatureUnion.fit(train.drop(target_col), numeric, categorical, inner)
     keep = [cols.transaction, target_col] if drop_original else [c for c in rows.columns]
-    train_features, _ = materialize(union.transform(train, inner, keep), "train-features")
+    train_features, seen = materialize(union.transform(train, inner, keep), "train-features", {"rows": F.count(F.lit(1))})
     test_features = union.transform(test, inner, keep)
-    woe = WeightOfEvidence.using(label=target_col, columns=union.names).fit(train_features)
+    woe = WeightOfEvidence.using(label=target_col, columns=union.names, rows=seen["rows"]).fit(train_features)
     weighed = set(woe.configuration()["bins"])
     names = [f"{c}_woe" if c in weighed else c for c in union.names]
 

@@ -36,7 +36,7 @@ def train_on_dataset(
     train, test = stratified_split(dataset, key, label, test_size, seed)
     numeric = numeric_columns(dataset, [key, label])
     text = [f.name for f in dataset.schema.fields if f.dataType.typeName() == "string" and f.name not in (key, label)]
-    head = preprocessed_head(numeric, text)
+    head = preprocessed_head(numeric, text, rows=dataset.count())
     results = train_families(train, label, key, numeric, test, families, n_iter, folds, seed, parallelism, head)
     return results, best_family(results), test
 
