@@ -445,7 +445,7 @@ def train_families(spark, sf):
         "random_forest": {"n_estimators": [10], "max_depth": [5]},
         "gradient_boosting": {"n_estimators": [5], "max_depth": [3]},
     }
-    data = labelled_customers(spark, sf)
+    data = labelled_customers(spark, sf).select("CustomerId", *FEW, "is_high_risk")
     results, winner, _ = training.train_on_dataset(data, families=small, n_iter=1, folds=2)
     rows = [(f, float(r.cv_score), float(r.test_metrics["roc_auc"]), f == winner) for f, r in results.items()]
     return spark.createDataFrame(rows, "model_name string, cv_score double, roc_auc double, best boolean")

@@ -7,11 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tallygrain.operators.order_stats import (
+    SMALL,
     Columns,
     cuts_from,
     cuts_passed,
+    exact_quantiles,
     interpolate,
     pick_ranks,
     quantile_target,
@@ -66,12 +69,42 @@ def fit_scores(
 ) -> dict[str, Column]:
     """Score expressions 1..q for several columns of a one-row-per-key table.
 
-    All columns are located in the same pass; the returned expressions contain
-    only literals, so applying them needs no shuffle. Rank scores break ties by
-    ``key``, ascending. ``totals`` are known row counts; no column may have gaps then.
+    Rank scores break ties by ``key``, ascending. ``totals`` are known row counts; no
+    column may have gaps then.
     """
-    columns = [s.column for s in scores]
     probabilities = [k / q for k in range(q + 1)]
+    if totals and max(totals.values()) <= tuning.get("small", SMALL):
+        edges, rank_bins = _fit_small(df, key, scores, q, probabilities, totals)
+    else:
+        edges, rank_bins = _fit_large(df, key, scores, q, probabilities, totals, tuning)
+    out: dict[str, Column] = {}
+    for s in scores:
+        value = F.col(s.column).cast("double")
+        if s.by == "rank":
+            bin_number = rank_bins[s.column]
+        else:
+            bin_number = bin_by_edges(value, check_edges(edges[s.column], s.column, on_duplicate)[1:-1])
+        number = (F.lit(q) - bin_number) if s.descending else (bin_number + 1)
+        out[s.output] = F.when(value.isNotNull(), number.cast("int"))
+    return out
+
+
+def _fit_small(df, key, scores, q, probabilities, totals) -> tuple[dict, dict]:
+    """For a table of known small size: one aggregate, and ranks from one ordered window."""
+    valued = {s.column: probabilities for s in scores if s.by == "value"}
+    edges = exact_quantiles(df, valued, rows=max(totals.values())) if valued else {}
+    bins = {}
+    for s in scores:
+        if s.by == "rank":
+            n = totals[s.column]
+            rank = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.col(s.column).cast("double"), key))
+            bins[s.column] = sum(((rank > (n - 1) * k // q + 1).cast("int") for k in range(1, q)), F.lit(0))
+    return edges, bins
+
+
+def _fit_large(df, key, scores, q, probabilities, totals, tuning) -> tuple[dict, dict]:
+    """For a table of any size: all positions located together, ranks cut by literals."""
+    columns = [s.column for s in scores]
     targets = {
         i: [quantile_target(p) for p in probabilities]
         if s.by == "value"
@@ -79,30 +112,20 @@ def fit_scores(
         for i, s in enumerate(scores)
     }
     known = {i: totals[c] for i, c in enumerate(columns)} if totals else None
-    if totals:
-        tuning = {"table_rows": max(totals.values()), **tuning}
     counts, found = pick_ranks(Columns(df, columns), targets, totals=known, **tuning)
-
+    edges = {
+        s.column: [interpolate(found, i, counts[i], p) for p in probabilities]
+        for i, s in enumerate(scores)
+        if s.by == "value"
+    }
     ranked = [i for i, s in enumerate(scores) if s.by == "rank"]
-    cuts = {}
-    if ranked:
-        base = None
-        for i in ranked:
-            part = df.select(
-                F.lit(i).alias("series"), F.col(columns[i]).cast("double").alias("v"), F.col(key).alias("t")
-            )
-            base = part if base is None else base.unionAll(part)
-        cuts = cuts_from(base, {i: targets[i] for i in ranked}, counts, found, **tuning)
-
-    out: dict[str, Column] = {}
-    for i, s in enumerate(scores):
-        value = F.col(s.column).cast("double")
-        if s.by == "rank":
-            bin_number = cuts_passed(cuts[i], value, F.col(key))
-        else:
-            edges = [interpolate(found, i, counts[i], p) for p in probabilities]
-            edges = check_edges(edges, s.column, on_duplicate)
-            bin_number = bin_by_edges(value, edges[1:-1])
-        number = (F.lit(q) - bin_number) if s.descending else (bin_number + 1)
-        out[s.output] = F.when(value.isNotNull(), number.cast("int"))
-    return out
+    if not ranked:
+        return edges, {}
+    base = None
+    for i in ranked:
+        part = df.select(
+            F.lit(i).alias("series"), F.col(columns[i]).cast("double").alias("v"), F.col(key).alias("t")
+        )
+        base = part if base is None else base.unionAll(part)
+    cuts = cuts_from(base, {i: targets[i] for i in ranked}, counts, found, **tuning)
+    return edges, {columns[i]: cuts_passed(cuts[i], F.col(columns[i]).cast("double"), F.col(key)) for i in ranked}

@@ -52,8 +52,12 @@ def test_cuts_in_tied_text_order(skewed, tuning):
 
 def scores_of(spark, values, by, on_duplicate="error"):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "k int, v double")
-    expr = fit_scores(df, "k", [Score("v", "s", by)], on_duplicate=on_duplicate)["s"]
-    return [r["s"] for r in df.withColumn("s", expr).orderBy("k").collect()]
+    got = []
+    for options in ({}, {"totals": {"v": len(values)}}, {"small": 1, "accuracy": 100}):
+        expr = fit_scores(df, "k", [Score("v", "s", by)], on_duplicate=on_duplicate, **options)["s"]
+        got.append([r["s"] for r in df.withColumn("s", expr).orderBy("k").collect()])
+    assert got[0] == got[1] == got[2]
+    return got[0]
 
 
 def test_rank_scores_follow_first_occurrence(spark):
@@ -70,3 +74,13 @@ def test_repeated_edges_raise_or_merge(spark):
     with pytest.raises(DuplicateEdges):
         scores_of(spark, values, "value")
     assert scores_of(spark, values, "value", "merge") == [1, 1, 1, 1, 3, 4, 4]
+
+
+def test_small_and_large_scores_agree_on_skew(spark, skewed):
+    scores = [Score("a", "by_value", "value", descending=True), Score("b", "by_rank", "rank")]
+    small = skewed.withColumns(fit_scores(skewed, "name", scores, totals={"a": 20_000, "b": 20_000}))
+    large = skewed.withColumns(fit_scores(skewed, "name", scores, small=10, accuracy=100, limit=500))
+    columns = ["id", "by_value", "by_rank"]
+    assert small.select(columns).exceptAll(large.select(columns)).count() == 0
+    sizes = [r["n"] for r in small.groupBy("by_rank").agg(F.count("*").alias("n")).collect()]
+    assert sizes == [4000] * 5
