@@ -285,8 +285,8 @@ def semi_join_customers(spark, sf):
 
 
 def sorted_transactions(spark, sf):
-    """Position of every event in (time, id) order: the sort is the query."""
-    return events(spark, sf).select("TransactionId", "CustomerId", "Value").orderBy("CustomerId", "TransactionId")
+    """Events by customer and time: the sort is the query."""
+    return events(spark, sf).orderBy("CustomerId", "TransactionStartTime").select("TransactionId", "CustomerId", "Value")
 
 
 def top_categories(spark, sf):
@@ -521,7 +521,7 @@ SQL = {
     "tx_risk_back_join": f"WITH {TARGET_SQL} SELECT TransactionId, tx.CustomerId, rfm_score FROM tx LEFT JOIN weighted ON tx.CustomerId = weighted.CustomerId",
     "label_left_join": "SELECT d.doc_id, lang, source, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "semi_join_customers": f"SELECT TransactionId, CustomerId, Amount FROM ({ORDERS}) WHERE CustomerId IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)",
-    "sorted_transactions": f"SELECT TransactionId, CustomerId, Value FROM ({EVENTS}) ORDER BY CustomerId, TransactionId",
+    "sorted_transactions": f"SELECT TransactionId, CustomerId, Value FROM ({EVENTS}) ORDER BY CustomerId, TransactionStartTime",
     "top_categories": """SELECT p_brand AS value, COUNT(*) AS n, ROUND(COUNT(*) / (SELECT COUNT(p_brand) FROM part), 6) AS share FROM part WHERE p_brand IS NOT NULL
       GROUP BY p_brand ORDER BY n DESC, value LIMIT 10""",
     "customer_targets": f"SELECT DISTINCT CustomerId, FraudResult FROM ({ORDERS})",

@@ -166,13 +166,15 @@ def ranking_metrics(scores: ScoreTable, **options) -> DataFrame:
     )
 
 
-def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = None) -> dict[str, float]:
-    """All metrics of one scored table as a dictionary."""
+def evaluate(
+    df: DataFrame, label: str, prediction: str, score: str | None = None, prefix: str = ""
+) -> dict[str, float]:
+    """All metrics of one scored table as a dictionary, names with an optional prefix."""
     row = class_metrics(confusion(df, label, prediction)).first().asDict()
     if score is not None:
         row |= ranking_metrics(score_table(df, label, score)).first().asDict()
         row |= log_loss(df, label, score).first().asDict()
-    return row
+    return {f"{prefix}{name}": value for name, value in row.items()}
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:

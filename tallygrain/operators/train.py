@@ -315,3 +315,68 @@ def train_stacking(
     finally:
         ready.unpersist()
     return Stacked(fitted_head, bases, final_model)
+
+
+def search_stacking(
+    train: DataFrame, label: str, key: str, head: list, settings: list[dict], folds: int = 5, seed: int = 42
+) -> Trained:
+    """Cross-validated search over stacking settings, refit on all rows."""
+    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
+    outer = stratified_folds(train, key, label, folds, seed, "outer").persist()
+    areas = []
+    try:
+        for chosen in settings:
+            total = 0.0
+            for f in range(folds):
+                model = train_stacking(outer.where(F.col("outer") != f), label, key, head, chosen, folds, seed)
+                total += evaluator.evaluate(model.transform(outer.where(F.col("outer") == f)))
+            areas.append(total / folds)
+    finally:
+        outer.unpersist()
+    best = max(range(len(settings)), key=lambda i: areas[i])
+    final = train_stacking(train, label, key, head, settings[best], folds, seed)
+    return Trained("stacking", final, areas[best], settings[best], list(zip([params_text(s) for s in settings], areas)))
+
+
+FAMILY_OF = {
+    "random_forest": "random_forest",
+    "gradient_boosting": "gradient_boosting",
+    "logistic": "logistic_regression",
+    "stacking": "stacking",
+}
+
+
+def fit_model(
+    train: DataFrame,
+    model_type: str,
+    label: str,
+    key: str,
+    numeric: list[str],
+    categorical: list[str] = (),
+    search: str = "random",
+    n_iter: int = 20,
+    folds: int = 5,
+    seed: int = 42,
+    parallelism: int = 4,
+    space: dict[str, list] | None = None,
+) -> Trained:
+    """One model with preprocessing: ``search`` is 'random', 'grid' or 'none'."""
+    if model_type not in FAMILY_OF:
+        raise ValueError(f"unsupported model type: {model_type}")
+    if search not in ("random", "grid", "none"):
+        raise ValueError(f"unknown search: {search}")
+    family = FAMILY_OF[model_type]
+    space = space or TRAINER_SPACES[family]
+    head = preprocessed_head(list(numeric), list(categorical), rows=train.count())
+    if search == "none":
+        plain = {"class_weight": None} if family == "random_forest" else {}
+        if family == "stacking":
+            return Trained(family, train_stacking(train, label, key, head, {}, folds, seed), None, None)
+        return search_model(train, family, label, key, head, settings=[plain], folds=1, seed=seed)
+    every = 1
+    for values in space.values():
+        every *= len(values)
+    settings = draw_settings(space, every if search == "grid" else n_iter, seed)
+    if family == "stacking":
+        return search_stacking(train, label, key, head, settings, folds, seed)
+    return search_model(train, family, label, key, head, settings=settings, folds=folds, seed=seed, parallelism=parallelism)

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from tallygrain.operators import explain, score, split, train
+from tallygrain.operators import evaluate, explain, score, split, target, train
 from tallygrain.operators.behavior import FEATURE_NAMES
 from tallygrain.operators.target import AS_CODED
 from tallygrain.plans import customers, prepare, supervised, training, transactions as tx_plan
@@ -134,6 +134,42 @@ def test_families_stacking_and_unknown_family(labelled):
         train.classifier("other", {}, "y", "features")
 
 
+def test_model_types_and_searches(labelled):
+    tr, te = split.stratified_split(labelled, "id", "y")
+    small = {"C": [0.1, 1.0], "penalty": ["l1", "l2"]}
+    grid = train.fit_model(tr, "logistic", "y", "id", ["x", "z"], ["c"], "grid", folds=2, space=small)
+    assert len(grid.search) == 4 and grid.cv_score == max(a for _, a in grid.search)
+    drawn = train.fit_model(tr, "logistic", "y", "id", ["x"], search="random", n_iter=1, folds=2, space=small)
+    assert len(drawn.search) == 1
+    plain = train.fit_model(tr, "gradient_boosting", "y", "id", ["x", "z"], search="none", space=small)
+    metrics = evaluate.evaluate(train.predictions(plain.model, te), "y", "predicted", "risk_score", "test_")
+    assert metrics["test_roc_auc"] > 0.9 and plain.cv_score is None
+    for bad in ({"model_type": "svm"}, {"model_type": "logistic", "search": "bayes"}):
+        with pytest.raises(ValueError):
+            train.fit_model(tr, label="y", key="id", numeric=["x"], **bad)
+
+
+def test_stacking_search_picks_the_best_settings(labelled):
+    settings = [{"rf_n_estimators": 3, "rf_max_depth": 3, "gb_n_estimators": 2}]
+    run = train.search_stacking(labelled, "y", "id", train.standard_head(["x", "z"]), settings, folds=2)
+    assert run.best_settings == settings[0] and run.cv_score > 0.8
+    assert train.predictions(run.model, labelled).count() == 400
+
+
+def test_proxy_target_polarities_follow_their_quantiles(spark):
+    i = F.col("id")
+    tx = spark.range(900).select(
+        i.alias("TransactionId"), F.floor(F.sqrt("id")).alias("CustomerId"), (i % 50 + 1.0).alias("Amount"), F.timestamp_seconds(i * 86400).alias("TransactionStartTime")
+    )
+    intended, ranker = target.proxy_target(tx, k=3, share=0.2, restarts=2)
+    rows = intended.select("CustomerId", "risk_rank", "is_high_risk").distinct().toPandas()
+    edge = rows["risk_rank"].quantile(0.2)
+    assert ((rows["risk_rank"] <= edge).astype(int) == rows["is_high_risk"]).all() and sorted(ranker.ranks.values()) == [0, 1, 2]
+    coded, _ = target.proxy_target(tx, k=3, share=0.8, polarity=AS_CODED, restarts=2)
+    rows = coded.toPandas()
+    assert len(rows) == 900 and ((rows["risk_rank"] >= rows["risk_rank"].quantile(0.8)).astype(int) == rows["is_high_risk"]).all()
+
+
 def test_shapley_values_add_up(labelled):
     tr, te = split.stratified_split(labelled, "id", "y")
     run = train.search_model(tr, "gradient_boosting", "y", "id", train.standard_head(["x", "z"]), settings=[{"n_estimators": 3}], folds=1)
