@@ -489,7 +489,8 @@ def preprocess_columns(spark, sf):
     """Impute, scale, encode and assemble, then spread over named columns."""
     df = table(spark, sf, "part").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
     out = encode.preprocessing(["p_size", "p_retailprice"], ["p_type"]).fit(df).transform(df)
-    return encode.vector_to_columns(out, "features", encode.feature_names(out), ["p_partkey"])
+    wide = encode.vector_to_columns(out, "features", encode.feature_names(out), ["p_partkey"])
+    return plus_zero(wide, 6, "p_size", "p_retailprice")
 
 
 def feature_union(spark, sf):
@@ -684,6 +685,11 @@ SQL = {
     "score_stream": f"""SELECT risk_category, COUNT(*) AS n FROM (SELECT CASE WHEN no_id OR bad_amount OR bad_days THEN 'REJECTED' ELSE {CATEGORY_SQL} END AS risk_category
       FROM (SELECT *, {SCORE_SQL} AS s FROM ({REQUESTS}))) GROUP BY risk_category""",
     "run_metadata": f"WITH {CURVE_SQL} SELECT 'fixed' AS model_name, 'fixed' AS model_type, CAST(MAX(p + n) AS DOUBLE) AS n_samples, ROUND(SUM(neg * (tp - pos / 2)) / MAX(p * n), 6) AS roc_auc FROM pr",
+    "preprocess_columns": "WITH s AS (SELECT AVG(p_size) AS ma, STDDEV_POP(p_size) AS sa, AVG(p_retailprice) AS mb, STDDEV_POP(p_retailprice) AS sb FROM part) SELECT p_partkey, "
+    + "ROUND((p_size - ma) / sa, 6) + 0.0 AS p_size, ROUND((p_retailprice - mb) / sb, 6) + 0.0 AS p_retailprice, "
+    + ", ".join(f"CAST(p_type = '{t}' AS DOUBLE) AS p_type_{t}" for t in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"))
+    + " FROM part, s",
+    "model_roundtrip": "SELECT CAST(0 AS BIGINT) AS changed, CAST(CEIL(0.2 * COUNT(DISTINCT o_custkey)) AS BIGINT) AS n FROM orders",
     "prepare_dataset": f"""SELECT part, COUNT(*) AS n, ROUND(AVG(FraudResult), 6) AS fraud_rate FROM (SELECT FraudResult, CASE WHEN ROW_NUMBER() OVER (ORDER BY TransactionStartTime, CAST(TransactionId AS VARCHAR))
       <= (SELECT FLOOR(0.8 * COUNT(*)) FROM orders) THEN 'train' ELSE 'test' END AS part FROM ({ORDERS})) GROUP BY part""",
 }
