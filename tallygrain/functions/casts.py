@@ -1,4 +1,4 @@
-"""Type conversion with the reference semantics: bad values become NULL."""
+"""Type conversion in which unreadable values become NULL."""
 
 from __future__ import annotations
 

@@ -18,7 +18,7 @@ from tallygrain.operators.order_stats import exact_quantiles
 from tallygrain.operators.rfm import target_rfm_table
 
 INTENDED = "intended"  # the least engaged customers are high risk
-AS_CODED = "as_coded"  # the rank directions of the reference, which flag the opposite end
+AS_CODED = "as_coded"  # the opposite rank directions, kept as an option
 
 
 def check_polarity(polarity: str) -> None:
