@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tallygrain.llm.simhash import simhash_query
+from tallygrain.llm.suffix_dedup import suffix_query
 
 QUERIES = {
     "op2_simhash_neardup": simhash_query,
+    "op4_suffix_dedup": suffix_query,
 }
 
 SQL: dict[str, str] = {}
