@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from tallygrain.llm.packing import packing_query
+from tallygrain.llm.quality import quality_query
 from tallygrain.llm.simhash import simhash_query
 from tallygrain.llm.suffix_dedup import suffix_query
 
 QUERIES = {
+    "op1_quality_gam": quality_query,
     "op2_simhash_neardup": simhash_query,
     "op4_suffix_dedup": suffix_query,
     "op5_packing": packing_query,
