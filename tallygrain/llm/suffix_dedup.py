@@ -196,6 +196,39 @@ def keep(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
+def whole_characters(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs drawn in to the characters that lie wholly inside."""
+    inside = lambda i: i < len(text) and text[i] & 0xC0 == 0x80
+    out = []
+    for a, b in runs:
+        while inside(a):
+            a += 1
+        while inside(b):
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return out
+
+
+def without_repeats(docs: DataFrame, length: int) -> DataFrame:
+    """``docs`` (doc_id, text, lang, source) without repeated passages, with n_chars of what is left.
+
+    Every copy of a passage goes, cut at whole characters. Documents stay, also if nothing is left.
+    """
+    docs = keyed(docs, "doc_id", "lang", "source")
+    marked = docs.join(repeated_spans(docs, length), "key", "left").select("doc_id", "text", "lang", "source", "spans")
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        texts = []
+        for text, spans in zip(binary_lists(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
+            texts.append(keep(text, whole_characters(text, merged(spans))).decode())
+        return {n: batch.column(n) for n in ["doc_id", "lang", "source"]} | {"text": texts, "n_chars": pa.array(map(len, texts), pa.int64())}
+
+    kinds = dict(marked.dtypes)
+    schema = ", ".join(f"{n} {kinds[n]}" for n in ("doc_id", "lang", "source")) + ", text string, n_chars long"
+    return per_batch(marked, rows, schema)
+
+
 def suffix_query(spark, sf_dir: str) -> DataFrame:
     docs = keyed(table(spark, sf_dir, "documents"), "doc_id")
     marked = docs.join(repeated_spans(docs, 400), "key", "left").select("doc_id", "text", "spans")
