@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallygrain.llm.ann import ann_query
 from tallygrain.llm.lm_score import lm_query
 from tallygrain.llm.packing import packing_query
 from tallygrain.llm.quality import quality_query
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_simhash_neardup": simhash_query,
     "op4_suffix_dedup": suffix_query,
     "op5_packing": packing_query,
+    "op7_ann_partitions": ann_query,
     "op8_lm_score": lm_query,
 }
 
