@@ -8,6 +8,7 @@ from tallygrain.llm.lm_score import lm_query
 from tallygrain.llm.packing import packing_query
 from tallygrain.llm.quality import quality_query
 from tallygrain.llm.simhash import simhash_query
+from tallygrain.llm.spotsigs import spotsigs_query
 from tallygrain.llm.suffix_dedup import suffix_query
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_bpe_trie": bpe_query,
     "op7_ann_partitions": ann_query,
     "op8_lm_score": lm_query,
+    "op9_spotsigs": spotsigs_query,
 }
 
 SQL: dict[str, str] = {}
