@@ -25,7 +25,7 @@ auf das dem den der des die ein eine für im ist mit nicht sich und von zu
 au aux avec ce dans de des du en est et la le les par pas pour que qui sur un une
 al como con del el la las lo los no para por que se su una y
 """
-CHAIN, GAP = 3, 24
+CHAIN, GAP = 3, 6
 EDGES = b".,;:!?\"'()[]{}<>*&%$#|-_/"
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 #: Documents of a range of ids that are paired with their successors in one go; most ranges.
