@@ -81,10 +81,11 @@ def keyed(docs: DataFrame, *others: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
-    """(key, spans): for each text digest with repeats, the (start, stop) stretches, not yet merged.
+    """(key, spans): for each text digest with repeats, what ``merged`` turns into stretches.
 
     A stretch is covered by strings of ``length`` bytes that also start somewhere else in
-    ``docs`` (rows with a column key from ``keyed``), the same document included.
+    ``docs`` (rows with a column key from ``keyed``), the same document included. A region that
+    recurs within a text is one row with the list of its places, so periodic texts stay small.
     """
     if length < GRAM + 8:
         raise ValueError(f"length must be {GRAM + 8} at least")
@@ -102,14 +103,15 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
         return {"key": pa.array(keys, pa.binary()), "start": join(starts), "n": join(counts).astype(np.int32), "gram": join(grams)}
 
     found, _ = materialize(per_batch(docs.select("key", "text"), places, "key binary, start long, n int, gram long"), "regions")
-    shared = found.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram")
+    # Written, so that the join below may split the rows of a gram that very many documents share.
+    shared, _ = materialize(found.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram"), "grams")
     wanted = found.join(shared, "gram", "left_semi").groupBy("key").agg(F.collect_set(F.struct("start", "n", "gram")).alias("at"))
 
     def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
             held: dict[bytes, list] = {}
-            rows = []
+            places: dict[tuple[bytes, bytes], list[int]] = {}
             for key, text, at in zip(batch.column("key").to_pylist(), binary_lists(batch.column("text")), batch.column("at").to_pylist(), strict=True):
                 known = key == last  # a copy of the document before: only the numbers matter
                 last = key
@@ -118,18 +120,18 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
                     name = hashlib.md5(body).digest()
                     held.setdefault(name, [r["gram"], body, 0])[2] += 1
                     if not known:
-                        rows.append((key, r["start"], name))
+                        places.setdefault((key, name), []).append(r["start"])
             yield pa.RecordBatch.from_pydict({
-                "key": pa.array([r[0] for r in rows] + [None] * len(held), pa.binary()),
-                "start": pa.array([r[1] for r in rows] + [None] * len(held), pa.int64()),
-                "region": pa.array([r[2] for r in rows] + list(held), pa.binary()),
-                "gram": pa.array([None] * len(rows) + [v[0] for v in held.values()], pa.int64()),
-                "body": pa.array([None] * len(rows) + [v[1] for v in held.values()], pa.binary()),
-                "times": pa.array([None] * len(rows) + [v[2] for v in held.values()], pa.int64()),
+                "key": pa.array([k for k, _ in places] + [None] * len(held), pa.binary()),
+                "starts": pa.array([*places.values(), *[None] * len(held)], pa.list_(pa.int64())),
+                "region": pa.array([r for _, r in places] + list(held), pa.binary()),
+                "gram": pa.array([None] * len(places) + [v[0] for v in held.values()], pa.int64()),
+                "body": pa.array([None] * len(places) + [v[1] for v in held.values()], pa.binary()),
+                "times": pa.array([None] * len(places) + [v[2] for v in held.values()], pa.int64()),
             })
 
     both = cut(docs.select("key", "text").join(wanted, "key")).mapInArrow(
-        cuts, "key binary, start long, region binary, gram long, body binary, times long"
+        cuts, "key binary, starts array<long>, region binary, gram long, body binary, times long"
     )
     both, _ = materialize(both, "bodies")
     bodies = both.where("body is not null").groupBy("gram", "region").agg(F.sum("times").alias("times"), F.first("body").alias("body"))
@@ -149,12 +151,9 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
             yield _sorted_block(block, length)
 
     meeting = bodies.repartition("gram").sortWithinPartitions("gram")
-    hits = cut(meeting.select("gram", "region", "body", "times")).mapInArrow(repeats, "region binary, first long, last long")
-    at = both.where("body is null").select("key", "start", "region")
-    spans = at.join(hits, "region").select(
-        "key", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last") + length).alias("stop")
-    )
-    return spans.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    hits = cut(meeting.select("gram", "region", "body", "times")).mapInArrow(repeats, "region binary, first array<long>, stop array<long>")
+    at = both.where("body is null").select("key", "starts", "region")
+    return at.join(hits, "region").groupBy("key").agg(F.collect_list(F.struct("starts", "first", "stop")).alias("spans"))
 
 
 def _sorted_block(block: list[tuple[bytes, bytes, int]], length: int) -> pa.RecordBatch:
@@ -171,19 +170,21 @@ def _sorted_block(block: list[tuple[bytes, bytes, int]], length: int) -> pa.Reco
     hit = np.zeros(len(text) + 1, bool)
     hit[order] = often[run] & (weight[order] > 0)
     edge = np.flatnonzero(np.diff(np.concatenate([[False], hit]).astype(np.int8)))
-    first, last = edge[::2], edge[1::2] - 1
+    first, stop = edge[::2], edge[1::2] - 1 + length
     owner = np.searchsorted(begins, first, side="right") - 1
+    named = np.flatnonzero(np.concatenate([[True], np.diff(owner) != 0])) if len(owner) else owner
+    offsets = pa.array(np.concatenate([named, [len(owner)]]), pa.int32())
     return pa.RecordBatch.from_pydict({
-        "region": pa.array([block[i][0] for i in owner.tolist()], pa.binary()),
-        "first": pa.array(first - begins[owner], pa.int64()),
-        "last": pa.array(last - begins[owner], pa.int64()),
+        "region": pa.array([block[i][0] for i in owner[named].tolist()], pa.binary()),
+        "first": pa.ListArray.from_arrays(offsets, pa.array(first - begins[owner], pa.int64())),
+        "stop": pa.ListArray.from_arrays(offsets, pa.array(stop - begins[owner], pa.int64())),
     })
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
-    """Maximal runs, in order; runs that touch are one."""
+    """Maximal runs (start, stop) of a text, in order; runs that touch are one."""
     out: list[tuple[int, int]] = []
-    for s in sorted((s["start"], s["stop"]) for s in spans or ()):
+    for s in sorted({(at + a, at + b) for s in spans or () for at in s["starts"] for a, b in zip(s["first"], s["stop"], strict=True)}):
         if out and s[0] <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], s[1]))
         else:
