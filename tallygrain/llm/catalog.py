@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallygrain.llm.ann import ann_query
 from tallygrain.llm.bpe_codec import bpe_query
+from tallygrain.llm.extraction import html_query
 from tallygrain.llm.lm_score import lm_query
 from tallygrain.llm.packing import packing_query
 from tallygrain.llm.quality import quality_query
@@ -14,6 +15,7 @@ from tallygrain.llm.suffix_dedup import suffix_query
 QUERIES = {
     "op1_quality_gam": quality_query,
     "op2_simhash_neardup": simhash_query,
+    "op3_html_lstm": html_query,
     "op4_suffix_dedup": suffix_query,
     "op5_packing": packing_query,
     "op6_bpe_trie": bpe_query,
