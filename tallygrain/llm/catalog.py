@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallygrain.llm.ann import ann_query
 from tallygrain.llm.bpe_codec import bpe_query
 from tallygrain.llm.extraction import html_query
+from tallygrain.llm.licenses import license_query
 from tallygrain.llm.lm_score import lm_query
 from tallygrain.llm.packing import packing_query
 from tallygrain.llm.quality import quality_query
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_ann_partitions": ann_query,
     "op8_lm_score": lm_query,
     "op9_spotsigs": spotsigs_query,
+    "op10_license_zstd": license_query,
 }
 
 SQL: dict[str, str] = {}
