@@ -15,8 +15,8 @@ import numpy as np
 def nearest(x: np.ndarray, y: np.ndarray, k: int, skip_self: bool = False) -> np.ndarray:
     """Rows of ``y`` with the largest inner products, for each row of ``x``, in blocks."""
     found = []
-    for at in range(0, len(x), 1024):
-        s = x[at : at + 1024] @ y.T
+    for at in range(0, len(x), 256):
+        s = x[at : at + 256] @ y.T
         if skip_self:
             s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
         k_ = min(k, s.shape[1] - skip_self)
