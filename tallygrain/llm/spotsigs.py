@@ -107,6 +107,8 @@ def near_pairs(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     similar set must share one of, and pairs that their lengths rule out are passed over inside the
     join. Candidates are then compared exactly. Empty sets have no partner.
     """
+    if not 0 < threshold < 1:
+        raise ValueError("threshold must lie between 0 and 1")
     sets = prints.where("size(signatures) > 0").groupBy("fingerprint").agg(F.min_by("signatures", F.size("signatures")).alias("s"))
     sets, _ = materialize(sets, "signature-sets")
     often = sets.select(F.explode("s").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
@@ -143,7 +145,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     cuts = [float("-inf"), *(sorted(set(probes)) or [0.0]), float("inf")]  # three at least
     ranged = docs.withColumn("x", F.col("doc_id").cast("double"))
     ranged = Bucketizer(splits=cuts, inputCol="x", outputCol="b", handleInvalid="keep").transform(ranged)
-    ranged = ranged.select(F.col("b").cast("int").alias("range"), "doc_id", "text")
+    ranged = ranged.select(F.coalesce(F.col("b").cast("int"), F.lit(len(cuts))).alias("range"), "doc_id", "text")
     firsts = sorted(((r["range"], r["first"]) for r in ranged.groupBy("range").agg(F.min("doc_id").alias("first")).collect()), key=lambda r: r[0])
     before = [(r[1], firsts[i - 1][0]) for i, r in enumerate(firsts)]
     heads = docs.sparkSession.createDataFrame(before, "first long, range int")
