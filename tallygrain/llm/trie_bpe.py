@@ -21,7 +21,7 @@ WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 #: Characters that are classed alike by all versions of Unicode in use: Latin, Greek, Cyrillic, signs.
 PLAIN = r"[\x00-\u0377\u0384-\u0523\u1e00-\u1eff\u2000-\u205f\u20a0-\u20b5\u3000]*"
 #: Words of earlier batches that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 
 
 def byte_characters() -> dict[int, str]:
