@@ -81,8 +81,8 @@ def rfm_weighted_target_path(spark, sf):
     """Weighted score and the fallback label: the lowest fifth of the scores."""
     from tallygrain.operators.target import fallback_label
 
-    table, rows = rfm.target_rfm_table(orders(spark, sf), money_scale=2)
-    return fallback_label(rounded(table, 6, "rfm_score"), rows=rows).select(
+    table, _ = rfm.target_rfm_table(orders(spark, sf), money_scale=2)
+    return fallback_label(rounded(table, 6, "rfm_score")).select(
         "CustomerId", "recency", "frequency", "monetary", "recency_score", "frequency_score", "monetary_score", "rfm_score", "is_high_risk"
     )
 
@@ -154,10 +154,8 @@ def customer_wide_table(spark, sf):
 
 def duplicate_edges_merged(spark, sf):
     """Quintile bins of event recency, where edges coincide and are merged."""
-    table, rows = rfm.rfm_base(events(spark, sf))
-    bins = binning.fit_scores(
-        table, "CustomerId", [binning.Score("Recency", "bin")], on_duplicate="merge", totals={"Recency": rows}
-    )
+    table, _ = rfm.rfm_base(events(spark, sf))
+    bins = binning.fit_scores(table, "CustomerId", [binning.Score("Recency", "bin")], on_duplicate="merge")
     return table.select("CustomerId", "Recency", (bins["bin"] - 1).alias("bin"))
 
 

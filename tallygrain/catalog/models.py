@@ -294,9 +294,9 @@ def cluster_high_risk(spark, sf):
 
 
 def threshold_label(spark, sf):
-    clustered, rows = fixed_clusters(spark, sf)
-    intended = target.threshold_label(clustered, share=0.2, rows=rows).withColumnRenamed("is_high_risk", "intended")
-    both = target.threshold_label(intended, share=0.8, polarity=target.AS_CODED, rows=rows).withColumnRenamed("is_high_risk", "as_coded")
+    clustered, _ = fixed_clusters(spark, sf)
+    intended = target.threshold_label(clustered, share=0.2).withColumnRenamed("is_high_risk", "intended")
+    both = target.threshold_label(intended, share=0.8, polarity=target.AS_CODED).withColumnRenamed("is_high_risk", "as_coded")
     return both.select("CustomerId", "intended", "as_coded")
 
 

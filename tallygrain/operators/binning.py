@@ -7,14 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tallygrain.operators.order_stats import (
-    SMALL,
     Columns,
     cuts_from,
     cuts_passed,
-    exact_quantiles,
     interpolate,
     pick_ranks,
     quantile_target,
@@ -64,19 +61,14 @@ def fit_scores(
     q: int = 5,
     *,
     on_duplicate: str = "error",
-    totals: dict[str, int] | None = None,
     **tuning,
 ) -> dict[str, Column]:
     """Score expressions 1..q for several columns of a one-row-per-key table.
 
-    Rank scores break ties by ``key``, ascending. ``totals`` are known row counts; no
-    column may have gaps then.
+    Rank scores break ties by ``key``, ascending.
     """
     probabilities = [k / q for k in range(q + 1)]
-    if totals and max(totals.values()) <= tuning.get("small", SMALL):
-        edges, rank_bins = _fit_small(df, key, scores, q, probabilities, totals)
-    else:
-        edges, rank_bins = _fit_large(df, key, scores, q, probabilities, totals, tuning)
+    edges, rank_bins = _fit(df, key, scores, q, probabilities, tuning)
     out: dict[str, Column] = {}
     for s in scores:
         value = F.col(s.column).cast("double")
@@ -89,21 +81,8 @@ def fit_scores(
     return out
 
 
-def _fit_small(df, key, scores, q, probabilities, totals) -> tuple[dict, dict]:
-    """For a table of known small size: one aggregate, and ranks from one ordered window."""
-    valued = {s.column: probabilities for s in scores if s.by == "value"}
-    edges = exact_quantiles(df, valued, rows=max(totals.values())) if valued else {}
-    bins = {}
-    for s in scores:
-        if s.by == "rank":
-            n = totals[s.column]
-            rank = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.col(s.column).cast("double"), key))
-            bins[s.column] = sum(((rank > (n - 1) * k // q + 1).cast("int") for k in range(1, q)), F.lit(0))
-    return edges, bins
-
-
-def _fit_large(df, key, scores, q, probabilities, totals, tuning) -> tuple[dict, dict]:
-    """For a table of any size: all positions located together, ranks cut by literals."""
+def _fit(df, key, scores, q, probabilities, tuning) -> tuple[dict, dict]:
+    """All positions located together, ranks cut by literals."""
     columns = [s.column for s in scores]
     targets = {
         i: [quantile_target(p) for p in probabilities]
@@ -111,8 +90,7 @@ def _fit_large(df, key, scores, q, probabilities, totals, tuning) -> tuple[dict,
         else [_rank_target(k, q) for k in range(1, q)]
         for i, s in enumerate(scores)
     }
-    known = {i: totals[c] for i, c in enumerate(columns)} if totals else None
-    counts, found = pick_ranks(Columns(df, columns), targets, totals=known, **tuning)
+    counts, found = pick_ranks(Columns(df, columns), targets, **tuning)
     edges = {
         s.column: [interpolate(found, i, counts[i], p) for p in probabilities]
         for i, s in enumerate(scores)

@@ -8,8 +8,10 @@ wanted ranks are located in two scans instead:
 2. one aggregation counts what lies below, between and inside those ranges, and
    keeps individual values only inside them.
 
-The counts are exact, so the answer is exact whatever the sketch error was. A
-value that a third of all rows share becomes one counted row on the map side.
+The counts are exact, so the answer is exact whatever the sketch error was: where it missed
+a rank, the counts tell in which gap the rank lies, and that gap is searched. A value that a
+third of all rows share becomes one counted row on the map side. Tables of all sizes go the
+same way.
 """
 
 from __future__ import annotations
@@ -27,7 +29,6 @@ from pyspark.sql import Window as W
 from tallygrain.session import materialize
 
 ACCURACY = 10_000  # sketch accuracy: rank error of about n / ACCURACY
-SMALL = 100_000  # up to this many rows every value is a candidate
 LIMIT = 2_000_000  # candidate rows per wanted rank before another narrowing round
 
 
@@ -203,109 +204,108 @@ def _sketch(source: Columns | Series, targets: dict[int, list[Target]], accuracy
 
 def _narrow(
     source: Columns | Series,
-    ranges: dict[int, list[tuple] | None],
+    ranges: dict[int, list[tuple]],
     wanted: dict[int, list[int]],
     accuracy: int,
     limit: int,
-) -> dict[int, list[tuple] | None]:
-    """Shrink ranges that still hold too many rows by sketching inside them."""
-    for _ in range(4):
-        bounded = {s: r for s, r in ranges.items() if r is not None}
-        if not bounded:
-            return ranges
+) -> dict[int, list[tuple]]:
+    """Ranges that hold every wanted rank and ``limit`` rows at most, or one value.
+
+    Each round counts the rows of all ranges and gaps. A rank in a gap makes the gap a range; a
+    range with too many rows is sketched again. A sketch that doesn't shrink its range any more
+    leaves values that are too alike to tell apart by it, and the range stays.
+    """
+    while True:
         slotted = present(source.slotted(ranges))
-        counts = slotted.groupBy("series", "slot").agg(F.count("*").alias("n")).collect()
-        per_slot = {(r["series"], r["slot"]): r["n"] for r in counts}
+        parts = [F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")]
+        slots = {(r["series"], r["slot"]): r for r in slotted.groupBy("series", "slot").agg(*parts).collect()}
+        kept: dict[int, list[tuple]] = {}
         asks: dict[tuple[int, int], list[float]] = {}
-        for s, spans in bounded.items():
-            below = per_slot.get((s, 0), 0)
-            for j, (low, high) in enumerate(spans):
-                inside = per_slot.get((s, 2 * j + 1), 0)
-                if inside > limit and low < high:
-                    asks[(s, 2 * j + 1)] = [
-                        (r - below) / inside for r in wanted[s] if below < r <= below + inside
-                    ]
-                below += inside + per_slot.get((s, 2 * j + 2), 0)
-        if not asks:
+        moved = False
+        for s, spans in ranges.items():
+            kept[s] = []
+            below = 0
+            for slot in range(2 * len(spans) + 1):
+                row = slots.get((s, slot))
+                if row is None:
+                    continue
+                inside = [r for r in wanted[s] if below < r <= below + row["n"]]
+                if inside:
+                    span = (row["low"], row["high"])
+                    moved = moved or slot % 2 == 0
+                    if row["n"] > limit and row["low"] < row["high"]:
+                        asks[(s, slot)] = [(r - below) / row["n"] for r in inside]
+                    kept[s].append((slot, span))
+                below += row["n"]
+        inner: dict[tuple[int, int], dict] = {}
+        if asks:
+            points = sorted({p for ps in asks.values() for f in ps for p in _bounds_at(f, accuracy)})
+            keep = F.lit(False)
+            for s, slot in asks:
+                keep = keep | ((F.col("series") == s) & (F.col("slot") == slot))
+            sketched = slotted.where(keep).groupBy("series", "slot").agg(F.percentile_approx("v", points, accuracy).alias("at"))
+            inner = {(r["series"], r["slot"]): dict(zip(points, r["at"])) for r in sketched.collect()}
+        after: dict[int, list[tuple]] = {}
+        for s, spans in kept.items():
+            after[s] = []
+            for slot, (low, high) in spans:
+                at = inner.get((s, slot))
+                if at is None:
+                    after[s].append((low, high))
+                    continue
+                for f in asks[(s, slot)]:
+                    below, above = _bounds_at(f, accuracy)
+                    after[s].append((low if below == 0.0 else at[below], high if above == 1.0 else at[above]))
+            after[s] = _merge(after[s])
+        ranges = after
+        if not moved and all(after[s] == _merge([span for _, span in spans]) for s, spans in kept.items()):
             return ranges
-        points = sorted({p for ps in asks.values() for f in ps for p in _bounds_at(f, accuracy)})
-        keep = F.lit(False)
-        for s, slot in asks:
-            keep = keep | ((F.col("series") == s) & (F.col("slot") == slot))
-        inner = (
-            slotted.where(keep)
-            .groupBy("series", "slot")
-            .agg(F.percentile_approx("v", points, accuracy).alias("at"))
-            .collect()
-        )
-        for row in inner:
-            s, slot = row["series"], row["slot"]
-            at = dict(zip(points, row["at"]))
-            low, high = ranges[s][(slot - 1) // 2]
-            replacement = []
-            for f in asks[(s, slot)]:
-                below, above = _bounds_at(f, accuracy)
-                replacement.append((low if below == 0.0 else at[below], high if above == 1.0 else at[above]))
-            others = [span for span in ranges[s] if span != (low, high)]
-            ranges = {**ranges, s: _merge(others + replacement)}
-    return ranges
-
-
-def _pick(
-    source: Columns | Series,
-    ranges: dict[int, list[tuple] | None],
-    wanted: dict[int, list[int]],
-) -> dict:
+
+
+def _pick(source: Columns | Series, ranges: dict[int, list[tuple]], wanted: dict[int, list[int]]) -> dict:
+    """Values at the wanted ranks: running counts within each range, shifted by what lies below it."""
     slotted = present(source.slotted(ranges))
     grouped = (
         slotted.select("series", "slot", F.when(F.col("slot") % 2 == 1, F.col("v")).alias("v"))
         .groupBy("series", "slot", "v")
         .agg(F.count("*").alias("n"))
     )
-    running = W.partitionBy("series").orderBy("slot", "v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    upto = grouped.withColumn("upto", F.sum("n").over(running)).withColumn("before", F.col("upto") - F.col("n"))
+    lower = W.partitionBy("series").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)  # a row for each range and gap
+    offsets = grouped.groupBy("series", "slot").agg(F.sum("n").alias("m")).select(
+        "series", "slot", F.coalesce(F.sum("m").over(lower), F.lit(0)).alias("lower")
+    )
+    running = W.partitionBy("series", "slot").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = grouped.where(F.col("slot") % 2 == 1).withColumn("upto", F.sum("n").over(running))
+    shifted = inside.join(F.broadcast(offsets), ["series", "slot"]).withColumn("upto", F.col("upto") + F.col("lower"))
     pairs = ", ".join(f"({s}, {r}L)" for s, ranks in wanted.items() for r in ranks)
     ranks = slotted.sparkSession.sql(f"SELECT * FROM VALUES {pairs} AS t(series, rank)")
-    hit = (F.col("before") < F.col("rank")) & (F.col("upto") >= F.col("rank")) & (F.col("slot") % 2 == 1)
+    upto = shifted.withColumn("before", F.col("upto") - F.col("n"))
+    hit = (F.col("before") < F.col("rank")) & (F.col("upto") >= F.col("rank"))
     # One row per wanted rank on the broadcast side.
     rows = upto.join(F.broadcast(ranks), "series").where(hit).select("series", "rank", "v", "before", "n").collect()
     return {(r["series"], r["rank"]): Found(r["v"], r["before"], r["n"]) for r in rows}
 
 
 def pick_ranks(
-    source: Columns | Series,
-    targets: dict[int, list[Target]],
-    *,
-    totals: dict[int, int] | None = None,
-    accuracy: int = ACCURACY,
-    limit: int = LIMIT,
-    small: int = SMALL,
+    source: Columns | Series, targets: dict[int, list[Target]], *, accuracy: int = ACCURACY, limit: int = LIMIT
 ) -> tuple[dict[int, int], dict[tuple[int, int], Found]]:
-    """Values at exact ranks of one or more series.
+    """Values at exact ranks of one or more series of numbers or times.
 
-    Pass ``totals`` when the row counts are already known: small series then skip
-    the sketch. Only the wanted values reach the driver.
+    Only the wanted values reach the driver.
     """
-    if totals is not None and all(n <= small for n in totals.values()):
-        ranges: dict = {}
-    else:
-        totals, ranges = _sketch(source, targets, accuracy)
-    wanted = {
-        s: sorted({r for t in ts for r in t.ranks(totals[s])})
-        for s, ts in targets.items()
-        if totals.get(s, 0) > 0
-    }
+    totals, ranges = _sketch(source, targets, accuracy)
+    wanted = {s: sorted({r for t in ts for r in t.ranks(totals[s])}) for s, ts in targets.items() if totals.get(s, 0) > 0}
     wanted = {s: ranks for s, ranks in wanted.items() if ranks}
     if not wanted:
         return totals, {}
-    ranges = {s: (None if totals[s] <= small else ranges.get(s)) for s in wanted}
-    if any(r is not None and totals[s] * 4 / accuracy > limit for s, r in ranges.items()):
+    ranges = {s: ranges[s] for s in wanted}
+    if any(totals[s] * 4 / accuracy > limit for s in ranges):
         ranges = _narrow(source, ranges, wanted, accuracy, limit)
     found = _pick(source, ranges, wanted)
     missing = {s: ranks for s, ranks in wanted.items() if any((s, r) not in found for r in ranks)}
     if missing:
-        # The sketch missed its error bound: look at the whole series.
-        found.update(_pick(source, {s: None for s in missing}, missing))
+        # The sketch missed its error bound: search the gaps that hold the ranks.
+        found.update(_pick(source, _narrow(source, {s: ranges[s] for s in missing}, missing, accuracy, limit), missing))
     return totals, found
 
 
@@ -319,24 +319,14 @@ def interpolate(found: dict, series: int, n: int, p: float) -> float | None:
     if position == low:
         return a
     b = float(found[(series, min(low + 2, n))].value)
-    return a + (b - a) * (position - low)
+    part = position - low
+    # From the nearer end, so that the result does not pass the other value by rounding.
+    return a + (b - a) * part if part < 0.5 else b - (b - a) * (1 - part)
 
 
-def exact_quantiles(
-    df: DataFrame, probabilities: dict[str, list[float]], *, rows: int | None = None, **tuning
-) -> dict[str, list[float | None]]:
-    """Exact linear-interpolation quantiles of several columns in one go.
-
-    ``rows`` is an upper bound of the row count when the caller knows one; a small
-    table is then served by Spark's own ``percentile`` in a single aggregate.
-    """
+def exact_quantiles(df: DataFrame, probabilities: dict[str, list[float]], **tuning) -> dict[str, list[float | None]]:
+    """Exact linear-interpolation quantiles of several columns in one go."""
     columns = list(probabilities)
-    if rows is not None and rows <= tuning.get("small", SMALL):
-        values = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in columns]
-        found = df.agg(
-            *[F.percentile(v, F.array(*map(F.lit, probabilities[c]))).alias(f"q{i}") for i, (c, v) in enumerate(zip(columns, values))]
-        ).first()
-        return {c: found[i] if found[i] is not None else [None] * len(probabilities[c]) for i, c in enumerate(columns)}
     targets = {i: [quantile_target(p) for p in probabilities[c]] for i, c in enumerate(columns)}
     totals, found = pick_ranks(Columns(df, columns), targets, **tuning)
     return {
@@ -359,19 +349,21 @@ class Cut:
         return (key > F.lit(self.key)) | ((key == F.lit(self.key)) & (tie > F.lit(self.tie)))
 
 
-def _pick_by_sort(ties: DataFrame, series: int, rank: int) -> object:
-    """Order statistic of a very large group of strings: one distributed sort."""
-    ordered = ties.where(F.col("series") == series).select("v").orderBy("v")
+def _ranks_by_sort(ties: DataFrame, wanted: dict[int, list[int]]) -> dict[tuple[int, int], object]:
+    """Order statistics of groups of strings (series, v): one distributed sort for all of them."""
     table, _ = materialize(
-        ordered.withColumn("part", F.spark_partition_id()).withColumn("pos", F.monotonically_increasing_id()),
+        ties.orderBy("series", "v").withColumn("part", F.spark_partition_id()).withColumn("pos", F.monotonically_increasing_id()),
         "sorted-ties",
     )
-    before = 0
-    for row in table.groupBy("part").agg(F.count("*").alias("n"), F.min("pos").alias("first")).orderBy("part").collect():
-        if rank <= before + row["n"]:
-            return table.where(F.col("pos") == row["first"] + (rank - before - 1)).first()["v"]
-        before += row["n"]
-    raise ValueError(f"rank {rank} is past the end")
+    # One row for each group and task of the sort.
+    parts = table.groupBy("series", "part").agg(F.count("*").alias("n"), F.min("pos").alias("first")).orderBy("series", "part").collect()
+    places = {}
+    for s, ranks in wanted.items():
+        before = 0
+        for row in (p for p in parts if p["series"] == s):
+            places.update({row["first"] + (r - before - 1): (s, r) for r in ranks if before < r <= before + row["n"]})
+            before += row["n"]
+    return {places[r["pos"]]: r["v"] for r in table.where(F.col("pos").isin(list(places))).select("pos", "v").collect()}
 
 
 def cut_points(
@@ -381,7 +373,6 @@ def cut_points(
     targets: dict[int, list[Target]],
     *,
     series: Column | None = None,
-    totals: dict[int, int] | None = None,
     **tuning,
 ) -> tuple[dict[int, int], dict[int, list[Cut | None]]]:
     """Cuts behind the given ranks in the total order (key, tie).
@@ -394,7 +385,7 @@ def cut_points(
         s: [Target(t.fraction, lambda n, t=t: [r for r in t.ranks(n) if r > 0]) for t in ts]
         for s, ts in targets.items()
     }
-    totals, found = pick_ranks(Series(base.select("series", "v")), non_zero, totals=totals, **tuning)
+    totals, found = pick_ranks(Series(base.select("series", "v")), non_zero, **tuning)
     return totals, cuts_from(base, targets, totals, found, **tuning)
 
 
@@ -420,21 +411,13 @@ def cuts_from(
         for g, (s, value, _) in enumerate(groups):
             label = F.when((F.col("series") == s) & (F.col("v") == F.lit(value)), F.lit(g)).otherwise(label)
         ties = base.select(label.alias("series"), F.col("t").alias("v")).where(F.col("series").isNotNull())
-        numeric = isinstance(ties.schema["v"].dataType, T.NumericType)
-        limit = tuning.get("limit", LIMIT)
-        easy = [g for g in range(len(groups)) if numeric or groups[g][2] <= limit]
-        if easy:
-            sizes = {g: groups[g][2] for g in easy}
-            goals = {
-                g: [rank_target(r / sizes[g], lambda n, r=r: r) for r in open_ties[groups[g]]] for g in easy
-            }
-            options = tuning if numeric else {**tuning, "small": max(limit, tuning.get("small", SMALL))}
-            _, hits = pick_ranks(Series(ties), goals, totals=sizes, **options)
-            for (g, r), hit in hits.items():
-                resolved[(*groups[g], r)] = hit.value
-        for g in set(range(len(groups))) - set(easy):
-            for r in open_ties[groups[g]]:
-                resolved[(*groups[g], r)] = _pick_by_sort(ties, g, r)
+        ranks = {g: open_ties[group] for g, group in enumerate(groups)}
+        if isinstance(ties.schema["v"].dataType, T.NumericType):
+            goals = {g: [rank_target(r / groups[g][2], lambda n, r=r: r) for r in rs] for g, rs in ranks.items()}
+            hits = {at: hit.value for at, hit in pick_ranks(Series(ties), goals, **tuning)[1].items()}
+        else:
+            hits = _ranks_by_sort(ties, ranks)
+        resolved = {(*groups[g], r): value for (g, r), value in hits.items()}
 
     cuts: dict[int, list[Cut | None]] = {}
     for s, ranks in wanted.items():

@@ -87,10 +87,9 @@ def with_rfm_metrics(table: DataFrame, snapshot: int) -> DataFrame:
     )
 
 
-def score_customers(table: DataFrame, customer: str, rows: int | None = None, **tuning) -> DataFrame:
+def score_customers(table: DataFrame, customer: str, **tuning) -> DataFrame:
     """Quintile scores, their sum and the segment for a customer table."""
-    totals = {s.column: rows for s in CUSTOMER_SCORES} if rows is not None else None
-    scored = table.withColumns(fit_scores(table, customer, CUSTOMER_SCORES, totals=totals, **tuning))
+    scored = table.withColumns(fit_scores(table, customer, CUSTOMER_SCORES, **tuning))
     total = F.col("RecencyScore") + F.col("FrequencyScore") + F.col("MonetaryScore")
     return scored.withColumn("RFM_Score", total).withColumn("RFM_Segment", segment(F.col("RFM_Score")))
 
@@ -99,8 +98,8 @@ def rfm_table(
     df: DataFrame, cols: TxColumns = DEFAULT, snapshot: datetime | None = None, money_scale: int | None = None
 ) -> DataFrame:
     """Metrics, scores and segment per customer: the customer path."""
-    table, rows = rfm_base(df, cols, snapshot, money_scale)
-    return score_customers(table, cols.customer, rows)
+    table, _ = rfm_base(df, cols, snapshot, money_scale)
+    return score_customers(table, cols.customer)
 
 
 def target_rfm_base(
@@ -138,8 +137,5 @@ def target_rfm_table(
 ) -> tuple[DataFrame, int]:
     """Metrics, three scores and the weighted score per customer."""
     table, rows = target_rfm_base(df, cols, snapshot, money_scale)
-    totals = {s.column: rows for s in TARGET_SCORES}
-    scored = table.withColumns(
-        fit_scores(table, cols.customer, TARGET_SCORES, totals=totals, on_duplicate=on_duplicate)
-    )
+    scored = table.withColumns(fit_scores(table, cols.customer, TARGET_SCORES, on_duplicate=on_duplicate))
     return scored.withColumn("rfm_score", weighted_score(weights)), rows

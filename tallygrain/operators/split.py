@@ -63,7 +63,7 @@ def stratified_membership(
     series = class_series(label, classes)
     order, tie = hash_order(key, seed), F.col(key)
     targets = {i: [rank_target(q / max(n, 1), lambda _, q=q: q)] for i, (q, n) in enumerate(zip(quota, counts))}
-    _, cuts = cut_points(df, order, tie, targets, series=series, totals=dict(enumerate(counts)), **tuning)
+    _, cuts = cut_points(df, order, tie, targets, series=series, **tuning)
     train = F.lit(False)
     for i in range(len(counts)):
         train = F.when(series == i, cuts_passed(cuts[i], order, tie) == 0).otherwise(train)
@@ -139,7 +139,7 @@ def stratified_folds(
     for c, per_fold in enumerate(sizes):
         ends = [sum(per_fold[: i + 1]) for i in range(k - 1)]
         targets[c] = [rank_target(e / max(counts[c], 1), lambda _, e=e: e) for e in ends]
-    _, cuts = cut_points(df, order, tie, targets, series=series, totals=dict(enumerate(counts)), **tuning)
+    _, cuts = cut_points(df, order, tie, targets, series=series, **tuning)
     fold = F.lit(None).cast("int")
     for c in range(len(counts)):
         fold = F.when(series == c, cuts_passed(cuts[c], order, tie)).otherwise(fold)
@@ -176,5 +176,5 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42, **tuning) -> Da
     if n >= total:
         return df
     order, tie = hash_order(key, seed), F.col(key)
-    _, cuts = cut_points(df, order, tie, {0: [rank_target(n / total, lambda _: n)]}, totals={0: total}, **tuning)
+    _, cuts = cut_points(df, order, tie, {0: [rank_target(n / total, lambda _: n)]}, **tuning)
     return df.where(cuts_passed(cuts[0], order, tie) == 0)

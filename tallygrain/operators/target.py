@@ -176,23 +176,21 @@ class RiskRanker:
         )
 
 
-def threshold_label(
-    df: DataFrame, rank: str = "risk_rank", share: float = 0.2, polarity: str = INTENDED, rows: int | None = None
-) -> DataFrame:
+def threshold_label(df: DataFrame, rank: str = "risk_rank", share: float = 0.2, polarity: str = INTENDED) -> DataFrame:
     """Flag rows by a quantile of the risk rank.
 
     intended: ranks up to the ``share`` quantile (0 is the riskiest rank).
     as_coded: ranks from the ``share`` quantile upwards.
     """
     check_polarity(polarity)
-    edge = exact_quantiles(df, {rank: [share]}, rows=rows)[rank][0]
+    edge = exact_quantiles(df, {rank: [share]})[rank][0]
     hit = F.col(rank) <= F.lit(edge) if polarity == INTENDED else F.col(rank) >= F.lit(edge)
     return df.withColumn("is_high_risk", hit.cast("int"))
 
 
-def fallback_label(df: DataFrame, score: str = "rfm_score", share: float = 0.2, rows: int | None = None) -> DataFrame:
+def fallback_label(df: DataFrame, score: str = "rfm_score", share: float = 0.2) -> DataFrame:
     """Label 1 for scores up to the given quantile."""
-    edge = exact_quantiles(df, {score: [share]}, rows=rows)[score][0]
+    edge = exact_quantiles(df, {score: [share]})[score][0]
     return df.withColumn("is_high_risk", (F.col(score) <= F.lit(edge)).cast("int"))
 
 
@@ -213,11 +211,11 @@ def proxy_target(
     ``share`` is the percentile from which on ranks are flagged.
     """
     check_polarity(polarity)
-    customers, rows = target_rfm_table(df, cols, money_scale=money_scale, on_duplicate=on_duplicate)
+    customers, _ = target_rfm_table(df, cols, money_scale=money_scale, on_duplicate=on_duplicate)
     ranker = RiskRanker.fit(customers, k, restarts=restarts)
     ranked = ranker.transform(customers).select(cols.customer, "risk_rank", "rfm_score", "frequency")
     if polarity == INTENDED:
-        labelled = threshold_label(ranked, share=share, polarity=polarity, rows=rows)
+        labelled = threshold_label(ranked, share=share, polarity=polarity)
         lookup = build_lookup(labelled, [cols.customer], "risk", "frequency")
         return lookup_join(df, lookup).drop("frequency"), ranker
     lookup = build_lookup(ranked, [cols.customer], "risk", "frequency")

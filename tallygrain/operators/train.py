@@ -195,11 +195,9 @@ def standard_head(numeric: list[str], features: str = "features") -> list:
     ]
 
 
-def preprocessed_head(
-    numeric: list[str], categorical: list[str], features: str = "features", rows: int | None = None
-) -> list:
+def preprocessed_head(numeric: list[str], categorical: list[str], features: str = "features") -> list:
     """Impute, scale and encode inside the cross validation."""
-    return preprocessing(numeric, categorical, output=features, rows=rows).getStages()
+    return preprocessing(numeric, categorical, output=features).getStages()
 
 
 def train_families(
@@ -367,7 +365,7 @@ def fit_model(
         raise ValueError(f"unknown search: {search}")
     family = FAMILY_OF[model_type]
     space = space or TRAINER_SPACES[family]
-    head = preprocessed_head(list(numeric), list(categorical), rows=train.count())
+    head = preprocessed_head(list(numeric), list(categorical))
     if search == "none":
         plain = {"class_weight": None} if family == "random_forest" else {}
         if family == "stacking":

@@ -41,16 +41,11 @@ class WeightedColumns(FittedColumns):
 
 
 class WeightOfEvidence(ColumnEstimator):
-    """Decile bins with merged duplicate edges; constant columns are left alone.
+    """Decile bins with merged duplicate edges; constant columns are left alone."""
 
-    ``rows`` is a known bound for the rows of the table, if there is one.
-    """
-
-    def learn(
-        self, df: DataFrame, label: str, columns: list[str] | None = None, bins: int = 10, rows: int | None = None
-    ) -> WeightedColumns:
+    def learn(self, df: DataFrame, label: str, columns: list[str] | None = None, bins: int = 10) -> WeightedColumns:
         chosen = columns or numeric_columns(df, [label])
-        quantiles = exact_quantiles(df, {c: [k / bins for k in range(bins + 1)] for c in chosen}, rows=rows)
+        quantiles = exact_quantiles(df, {c: [k / bins for k in range(bins + 1)] for c in chosen})
         edges = {c: sorted(set(q)) for c, q in quantiles.items() if q[0] is not None and q[0] != q[-1]}
         if not edges:
             return WeightedColumns.of({"bins": {}})

@@ -33,8 +33,8 @@ def customer_dataset(
     """Clean, aggregate, score, label and fill."""
     if method not in METHODS:
         raise ValueError(f"invalid method: {method}; choose one of {METHODS}")
-    table, rows = wide_base(clean_customer_path(transactions, cols), cols, snapshot, money_scale)
-    scored = score_customers(table, cols.customer, rows)
+    table, _ = wide_base(clean_customer_path(transactions, cols), cols, snapshot, money_scale)
+    scored = score_customers(table, cols.customer)
     if method == "fraud_history":
         return finish_wide(scored, F.col("had_fraud"), cols)
     labelled = label_by_cluster(scored, n_clusters, restarts=restarts, polarity=polarity)

@@ -5,10 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygrain.operators.binning import DuplicateEdges, Score, fit_scores
+from tallygrain.operators import order_stats
+from tallygrain.operators.split import stratified_folds
 from tallygrain.operators.order_stats import cut_points, cuts_passed, exact_quantiles, rank_target
 
 PROBS = [0.0, 0.01, 0.2, 0.5, 0.6, 0.8, 0.99, 1.0]
-TUNINGS = [{}, {"small": 10, "accuracy": 100}, {"small": 10, "accuracy": 100, "limit": 300}, {"rows": 20_000}]
+TUNINGS = [{}, {"accuracy": 100}, {"accuracy": 100, "limit": 300}, {"accuracy": 100, "limit": 10}]
 
 
 @pytest.fixture(scope="module")
@@ -34,13 +36,13 @@ def test_quantiles_match_numpy(skewed, tuning):
 
 def test_quantiles_of_infinities_zeros_and_nothing(spark):
     df = spark.createDataFrame([(x, None) for x in (-math.inf, -0.0, 0.0, 1.0, math.inf)], "a double, b double")
-    for tuning in ({}, {"small": 1, "accuracy": 100}):
+    for tuning in ({}, {"accuracy": 100}):
         assert exact_quantiles(df, {"a": [0.25, 0.5, 0.75], "b": [0.5]}, **tuning) == {"a": [0.0, 0.0, 1.0], "b": [None]}
 
 
-@pytest.mark.parametrize("tuning", [{}, {"small": 10, "accuracy": 100}, {"small": 10, "accuracy": 100, "limit": 200}])
+@pytest.mark.parametrize("tuning", [{}, {"accuracy": 100}, {"accuracy": 100, "limit": 200}])
 def test_cuts_in_tied_text_order(skewed, tuning):
-    """The last tuning also sorts the large tied group, as its text cannot be sketched."""
+    """Ranks inside the large tied group come from one sort, as text cannot be sketched."""
     local = skewed.toPandas().sort_values(["b", "name"]).reset_index(drop=True)
     ranks = [1, 4000, 15000, 17000, 19999, 20000]
     targets = {0: [rank_target(r / 20000, lambda n, r=r: r) for r in ranks]}
@@ -53,7 +55,7 @@ def test_cuts_in_tied_text_order(skewed, tuning):
 def scores_of(spark, values, by, on_duplicate="error"):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "k int, v double")
     got = []
-    for options in ({}, {"totals": {"v": len(values)}}, {"small": 1, "accuracy": 100}):
+    for options in ({}, {"accuracy": 100}, {"accuracy": 100, "limit": 2}):
         expr = fit_scores(df, "k", [Score("v", "s", by)], on_duplicate=on_duplicate, **options)["s"]
         got.append([r["s"] for r in df.withColumn("s", expr).orderBy("k").collect()])
     assert got[0] == got[1] == got[2]
@@ -76,11 +78,47 @@ def test_repeated_edges_raise_or_merge(spark):
     assert scores_of(spark, values, "value", "merge") == [1, 1, 1, 1, 3, 4, 4]
 
 
-def test_small_and_large_scores_agree_on_skew(spark, skewed):
+def test_scores_agree_on_skew_whatever_the_tuning(spark, skewed):
     scores = [Score("a", "by_value", "value", descending=True), Score("b", "by_rank", "rank")]
-    small = skewed.withColumns(fit_scores(skewed, "name", scores, totals={"a": 20_000, "b": 20_000}))
-    large = skewed.withColumns(fit_scores(skewed, "name", scores, small=10, accuracy=100, limit=500))
+    small = skewed.withColumns(fit_scores(skewed, "name", scores))
+    large = skewed.withColumns(fit_scores(skewed, "name", scores, accuracy=100, limit=500))
     columns = ["id", "by_value", "by_rank"]
     assert small.select(columns).exceptAll(large.select(columns)).count() == 0
     sizes = [r["n"] for r in small.groupBy("by_rank").agg(F.count("*").alias("n")).collect()]
     assert sizes == [4000] * 5
+
+
+def test_a_value_on_a_decile_edge_is_scored_as_by_numpy(spark):
+    """Interpolation that rounds otherwise puts 9607.78 above its own edge."""
+    values = [*map(float, range(62)), 9560.39, 9607.78, *map(float, range(20_000, 20_027))]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, v double")
+    edges = [float(e) for e in np.quantile(values, [i / 10 for i in range(11)])]
+    for tuning in ({}, {"accuracy": 50}, {"accuracy": 50, "limit": 5}):
+        assert exact_quantiles(df, {"v": [i / 10 for i in range(11)]}, **tuning)["v"] == edges
+        score = fit_scores(df, "k", [Score("v", "s")], 10, **tuning)["s"]
+        got = {r["v"]: r["s"] for r in df.select("v", score.alias("s")).collect()}
+        assert got == {v: 1 + sum(v > e for e in edges[1:-1]) for v in values}
+
+
+def test_ranks_that_the_sketch_misses_are_found(spark, monkeypatch):
+    """A sketch that is wrong altogether costs rounds, not exactness."""
+    df = spark.range(5000).select((F.col("id") * 7 % 5000).cast("double").alias("v"))
+    real = order_stats._sketch
+
+    def wrong(source, targets, accuracy):
+        totals, ranges = real(source, targets, accuracy)
+        return totals, {s: [(10.0, 11.0)] for s in ranges}
+
+    monkeypatch.setattr(order_stats, "_sketch", wrong)
+    for tuning in ({}, {"accuracy": 100, "limit": 50}):
+        assert exact_quantiles(df, {"v": [0.1, 0.5, 0.9]}, **tuning)["v"] == [float(np.quantile(range(5000), p)) for p in (0.1, 0.5, 0.9)]
+
+
+def test_text_ties_of_all_classes_are_sorted_once(spark, monkeypatch):
+    written = []
+    real = order_stats.materialize
+    monkeypatch.setattr(order_stats, "materialize", lambda df, label, *a: written.append(label) or real(df, label, *a))
+    df = spark.range(3000).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("k"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    folds = stratified_folds(df, "k", "y", 5, seed=None).groupBy("y", "fold").count().collect()
+    assert written == ["sorted-ties"]
+    assert sorted(r["count"] for r in folds) == [200] * 5 + [400] * 5
