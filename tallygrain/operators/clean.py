@@ -33,23 +33,27 @@ def trim_strings(df: DataFrame) -> DataFrame:
 
 
 def modal_values(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    """Most frequent value per column, smallest on ties.
+    """Most frequent value per column in its own type, the smallest on ties; NaN counts as missing.
 
     One count per (column, value) with map-side combine, then one row per
     column reaches the driver; no value list is held in a single task.
     """
     if not columns:
         return {}
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
-    counts = (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.c", "p.v")
-        .where(F.col("v").isNotNull())
-        .groupBy("c", "v")
-        .agg(F.count("*").alias("n"))
-    )
-    best = counts.groupBy("c").agg(F.max("n").alias("n")).join(counts, ["c", "n"]).groupBy("c").agg(F.min("v").alias("v"))
-    return {r["c"]: r["v"] for r in best.collect()}
+    df = nan_to_null(df.select(*columns))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # A row for each column, with one field for each type of column: equal types share theirs.
+    kinds = {t.simpleString(): t for t in types.values()}
+    fields = {k: f"v{i}" for i, k in enumerate(kinds)}
+    entries = [
+        F.struct(F.lit(c).alias("c"), *[(F.col(c) if types[c].simpleString() == k else F.lit(None).cast(t)).alias(fields[k]) for k, t in kinds.items()])
+        for c in columns
+    ]
+    values = list(fields.values())
+    pairs = df.select(F.explode(F.array(*entries)).alias("p")).select("p.*").where(F.coalesce(*[F.col(v).cast("string") for v in values]).isNotNull())
+    counts = pairs.groupBy("c", *values).agg(F.count("*").alias("n"))
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("rank"), *values)).alias("best"))
+    return {r["c"]: r["best"][fields[types[r["c"]].simpleString()]] for r in best.collect()}
 
 
 def impute_typed(df: DataFrame, cols: TxColumns = DEFAULT, modal=("CurrencyCode", "CountryCode")) -> DataFrame:

@@ -17,7 +17,7 @@ COST_FALSE_NEGATIVE, COST_FALSE_POSITIVE = 10, 2
 F1_GUARD = 1e-10
 PROBABILITY_CLIP = 2.220446049250313e-16
 
-ONE_TASK_ROWS = 1_000_000
+RANGE_ROWS = 1_000_000  # distinct scores that one task sums
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -81,26 +81,18 @@ def score_table(df: DataFrame, label: str, score: str) -> ScoreTable:
     return ScoreTable(table, seen["rows"], seen["pos"] or 0, seen["neg"] or 0)
 
 
-def running_counts(scores: ScoreTable, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def running_counts(scores: ScoreTable, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Adds tp and fp: positives and negatives with this score or a higher one.
 
-    Up to ``one_task_rows`` distinct scores are summed in one ordered window. More
-    are cut into score ranges; each range is summed by its own task and shifted by
-    the totals of the ranges above it (one row per range).
+    The distinct scores are cut into ranges of about ``range_rows``; each range is summed by its
+    own task and shifted by the totals of the ranges above it (one row per range).
     """
     order = F.col("score").desc()
-
-    def window(w):
-        return w.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-
-    if scores.rows <= one_task_rows:
-        w = window(W.partitionBy(F.lit(0)))
-        return scores.table.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w)})
-    ranges = min(math.ceil(scores.rows / one_task_rows) + 1, 5_000)
+    ranges = math.ceil(scores.rows / range_rows) + 1
     points = [i / ranges for i in range(1, ranges)]
     accuracy = max(10_000, 10 * ranges)
     cuts = scores.table.agg(F.percentile_approx("score", points, accuracy).alias("q")).first()["q"]
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *(sorted(set(cuts or [])) or [0.0]), math.inf]
     bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(scores.table)
     above = W.partitionBy(F.lit(0)).orderBy(F.col("bucket").desc()).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -112,11 +104,10 @@ def running_counts(scores: ScoreTable, one_task_rows: int = ONE_TASK_ROWS) -> Da
             F.coalesce(F.sum("n").over(above), F.lit(0)).alias("neg_above"),
         )
     )
-    w = window(W.partitionBy("bucket"))
+    w = W.partitionBy("bucket").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     inner = bucketed.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w)})
-    # One row per range, at most 5001 rows.
     return (
-        inner.join(F.broadcast(offsets), "bucket")
+        inner.join(offsets, "bucket")
         .withColumns({"tp": F.col("tp") + F.col("pos_above"), "fp": F.col("fp") + F.col("neg_above")})
         .drop("bucket", "pos_above", "neg_above")
     )

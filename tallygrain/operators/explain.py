@@ -9,6 +9,19 @@ from pyspark.sql import Window as W
 
 from tallygrain.operators.split import sample_rows
 from tallygrain.operators.train import predictions
+from tallygrain.session import materialize
+
+
+def background_table(df: DataFrame, key: str, columns: list[str], rows: int = 100, seed: int = 42) -> DataFrame:
+    """(_slot, _base): a repeatable sample of at most ``rows`` rows that stand for the usual customer."""
+    sample = sample_rows(df, key, rows, seed).select(F.struct(key, F.struct(*columns).alias("base")).alias("r"))
+    # One array of ``rows`` entries at most.
+    return sample.agg(F.array_sort(F.collect_list("r")).alias("all")).select(F.posexplode("all").alias("_slot", "r")).select("_slot", F.col("r.base").alias("_base"))
+
+
+def expected_value(model: PipelineModel, background: DataFrame) -> float:
+    """The mean score of the background: attributions explain how far a row lies from it."""
+    return predictions(model, background.select("_base.*")).agg(F.avg("risk_score")).first()[0]
 
 
 def shapley_values(
@@ -16,26 +29,24 @@ def shapley_values(
     df: DataFrame,
     key: str,
     columns: list[str],
-    n_samples: int = 1000,
+    background: DataFrame | None = None,
+    n_samples: int | None = None,
     permutations: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """(key, feature, shapley): contributions that add up to score minus base score.
+    """(key, feature, shapley): contributions that add up to score minus background score.
 
-    For every explained row and permutation one other sampled row is the
-    background. Walking through the permutation, each step takes one more feature
-    from the explained row; the change of the score is that feature's contribution.
-    The explained sample is the feature of this operator, as is its size.
+    For every explained row and permutation one row of ``background`` (from ``background_table``,
+    by default of ``df``) is drawn. Walking through the permutation, each step takes one more
+    feature from the explained row; the change of the score is that feature's contribution. All
+    rows are explained, or a repeatable sample of ``n_samples`` where that is asked for.
     """
-    sample = sample_rows(df, key, n_samples, seed).select(key, *columns).persist()
-    size = sample.count()
-    order = W.partitionBy(F.lit(0)).orderBy(key)  # n_samples rows at most
-    numbered = sample.withColumn("_slot", F.row_number().over(order) - 1)
-    background = numbered.select("_slot", F.struct(*columns).alias("_base"))
+    sample = (df if n_samples is None else sample_rows(df, key, n_samples, seed)).select(key, *columns)
+    background, seen = materialize(background_table(df, key, columns, seed=seed) if background is None else background, "background", {"n": F.count(F.lit(1))})
+    size = max(1, seen["n"])
     width = len(columns)
     walks = (
-        numbered.drop("_slot")
-        .withColumn("_walk", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
+        sample.withColumn("_walk", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
         .withColumn("_slot", F.pmod(F.xxhash64(key, "_walk", F.lit(seed)), F.lit(size)).cast("int"))
         .join(F.broadcast(background), "_slot")
     )

@@ -12,7 +12,6 @@ from tallygrain.session import materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARES = 2_000  # a key is hot from 1/2000 of the rows on, so at most 2000 are
-NULL_SALTS = 256
 
 
 def row_bytes(schema: T.StructType) -> Column:
@@ -57,7 +56,6 @@ def lookup_join(
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_shares: int = HOT_SHARES,
-    null_salts: int = NULL_SALTS,
 ) -> DataFrame:
     """Left join ``rows`` with a lookup on its keys.
 
@@ -80,12 +78,13 @@ def lookup_join(
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
+    # A row without a key matches nothing, so its salt may be any number: as many as there are rows.
     salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt",
-        F.pmod(spread, F.when(any_null, F.lit(null_salts)).otherwise(F.coalesce("_salts", F.lit(1)))).cast("int"),
+        F.when(any_null, spread).otherwise(F.pmod(spread, F.coalesce("_salts", F.lit(1)))),
     )
     repeated = table.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1))
     )
     return salted.drop("_salts").join(repeated.drop("_salts"), [*keys, "_salt"], "left").drop("_salt")
 
@@ -96,5 +95,11 @@ def semi_join(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
 
 
 def label_join(rows: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    """Left join with a label table; rows without a label keep NULL."""
-    return rows.join(labels, key, "left")
+    """Left join with a label table; rows without a label keep NULL.
+
+    Rows without a key are spread by their content instead of meeting in one task; rows of a hot
+    key are split by adaptive execution, as the label side has its own exchange.
+    """
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    salted = rows.withColumn("_salt", F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
+    return salted.join(labels.withColumn("_salt", F.lit(0).cast("long")), [key, "_salt"], "left").drop("_salt")

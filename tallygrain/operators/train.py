@@ -67,9 +67,25 @@ def add_class_weight(df: DataFrame, label: str, column: str = WEIGHT) -> DataFra
     return df.withColumn(column, weight)
 
 
+def used_depth(settings: dict, default: int | None = None) -> int:
+    """The depth a tree grows to at most; no limit means the deepest that Spark ML grows."""
+    depth = settings.get("max_depth", default) or MAX_DEPTH
+    if depth > MAX_DEPTH:
+        raise ValueError(f"max_depth {depth} is above {MAX_DEPTH}, the deepest tree there is")
+    return depth
+
+
+def same_fit(settings: dict) -> tuple:
+    """What the estimator sees: split and leaf limits together are one limit, no depth is the deepest."""
+    rest = {k: v for k, v in settings.items() if k not in ("min_samples_leaf", "min_samples_split", "max_depth")}
+    depth = used_depth(settings) if "max_depth" in settings else None
+    return (*sorted((k, str(v)) for k, v in rest.items()), ("rows of a leaf", _split_size(settings)), ("depth", depth))
+
+
 def draw_settings(space: dict[str, list], n: int, seed: int = 42) -> list[dict]:
-    """n different random combinations (all of them when there are fewer)."""
-    every = [dict(zip(space, values)) for values in itertools.product(*space.values())]
+    """n random combinations that are different fits (all of them when there are fewer)."""
+    combined = [dict(zip(space, values)) for values in itertools.product(*space.values())]
+    every = list({same_fit(s): s for s in reversed(combined)}.values())[::-1]
     return every if n >= len(every) else random.Random(seed).sample(every, n)
 
 
@@ -97,7 +113,7 @@ def classifier(family: str, settings: dict, label: str, features: str, weight_su
     if family == "random_forest":
         model = RandomForestClassifier(
             numTrees=settings.get("n_estimators", 100),
-            maxDepth=min(settings.get("max_depth") or MAX_DEPTH, MAX_DEPTH),
+            maxDepth=used_depth(settings),
             minInstancesPerNode=_split_size(settings),
             seed=seed,
             **common,
@@ -107,7 +123,7 @@ def classifier(family: str, settings: dict, label: str, features: str, weight_su
         return GBTClassifier(
             maxIter=settings.get("n_estimators", 100),
             stepSize=settings.get("learning_rate", 0.1),
-            maxDepth=settings.get("max_depth", 3),
+            maxDepth=used_depth(settings, 3),
             minInstancesPerNode=_split_size(settings),
             subsamplingRate=settings.get("subsample", 1.0),
             seed=seed,
@@ -154,6 +170,8 @@ def search_model(
     weight_sum = float(weighted.count())  # balanced weights add up to the row count
     settings = settings or [{}]
     tails = [classifier(family, s, label, features, weight_sum, seed or 42) for s in settings]
+    if family in ("random_forest", "gradient_boosting"):  # records say which depth was used
+        settings = [s | {"max_depth": used_depth(s, 3 if family == "gradient_boosting" else None)} for s in settings]
     if len(settings) == 1 and folds < 2:
         return Trained(family, Pipeline(stages=[*head, tails[0]]).fit(weighted), None, settings[0])
     areas = cross_validate(stratified_folds(weighted, key, label, folds, seed, "fold"), head, tails, label, folds, parallelism)
@@ -235,8 +253,17 @@ def best_row(metrics: DataFrame, name: str = "model_name", metric: str = "roc_au
     return metrics.agg(F.max_by(name, metric).alias(name), F.max(metric).alias(metric))
 
 
-def feature_importance(model: PipelineModel, scored: DataFrame, features: str = "features") -> DataFrame:
-    """(feature, importance), largest first: tree importances or absolute coefficients."""
+def feature_importance(model, scored: DataFrame, features: str = "features") -> DataFrame:
+    """(feature, importance), largest first: tree importances or absolute coefficients.
+
+    A stacked model has the mean importances of its base models.
+    """
+    if isinstance(model, Stacked):
+        parts = [feature_importance(PipelineModel([base]), scored, features) for base in model.bases]
+        both = parts[0]
+        for part in parts[1:]:
+            both = both.unionAll(part)
+        return both.groupBy("feature").agg((F.sum("importance") / len(parts)).alias("importance")).orderBy(F.desc("importance"), "feature")
     last = model.stages[-1]
     if hasattr(last, "featureImportances"):
         values = [float(v) for v in last.featureImportances.toArray()]
@@ -266,6 +293,22 @@ class Stacked:
     bases: list
     final: PipelineModel
 
+    def save(self, path: str) -> str:
+        """All parts below one folder."""
+        self.head.write().overwrite().save(f"{path}/head")
+        for i, base in enumerate(self.bases):
+            PipelineModel([base]).write().overwrite().save(f"{path}/base-{i}")
+        self.final.write().overwrite().save(f"{path}/final")
+        return path
+
+    @classmethod
+    def load(cls, path: str, bases: int = 2) -> Stacked:
+        return cls(
+            PipelineModel.load(f"{path}/head"),
+            [PipelineModel.load(f"{path}/base-{i}").stages[0] for i in range(bases)],
+            PipelineModel.load(f"{path}/final"),
+        )
+
     def transform(self, df: DataFrame) -> DataFrame:
         rows = self.head.transform(df)
         for i, base in enumerate(self.bases):

@@ -48,7 +48,8 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where neither that
-    setting nor a checkpoint folder exists (local tests) is a folder made here.
+    setting nor a checkpoint folder exists is a folder made here, and only for a local
+    session: executors on other machines would not see it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -56,6 +57,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     folder = tempfile.mkdtemp(prefix="tallygrain-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

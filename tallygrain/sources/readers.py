@@ -22,21 +22,52 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def read_csv_typed(
     spark: SparkSession, path: str, schema: T.StructType | None = None, keep_bad_rows: bool = False
 ) -> DataFrame:
-    """CSV with a header and a fixed schema; malformed rows fail, or are kept aside.
+    """CSV with a header and a fixed schema, matched by column name; malformed rows fail, or are kept aside.
 
-    With ``keep_bad_rows`` the raw text of a malformed row is in ``_corrupt_record``.
+    Columns may stand in any order, which may differ between the files of a folder; further
+    columns are left out, a missing one is an error. With ``keep_bad_rows`` the raw text of a
+    malformed row is in ``_corrupt_record``.
     """
     schema = schema or transaction_schema()
-    if keep_bad_rows:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        return (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(path)
-        )
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    known = {f.name: f for f in schema.fields}
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in _csv_files(spark, path):
+        header = tuple(spark.read.option("header", True).csv(file).columns)
+        missing = [n for n in known if n not in header]
+        if header and missing:
+            raise ValueError(f"{file} lacks the columns {missing}")
+        if header:
+            layouts.setdefault(header, []).append(file)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    parts = []
+    for header, files in layouts.items():
+        fields = [known.get(n, T.StructField(n, T.StringType())) for n in header]
+        if keep_bad_rows:
+            layout = reader.schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
+            part = layout.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(files)
+            parts.append(part.select(*known, CORRUPT))
+        else:
+            parts.append(reader.schema(T.StructType(fields)).option("mode", "FAILFAST").csv(files).select(*known))
+    if not parts:
+        wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if keep_bad_rows else schema
+        return spark.createDataFrame([], wanted)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a path: itself, or what lies in the folder and is not hidden."""
+    jvm = spark.sparkContext._jvm
+    files = []
+    for found in _glob(spark, path):
+        place = jvm.org.apache.hadoop.fs.Path(found)
+        system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files += [s.getPath().toString() for s in system.listStatus(place) if s.isFile() and s.getPath().getName()[0] not in "._"]
+    if not files:
+        raise FileNotFoundError(path)
+    return sorted(files)
 
 
 def read_csv_untyped(spark: SparkSession, path: str) -> DataFrame:

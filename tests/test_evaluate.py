@@ -30,10 +30,10 @@ def scored(spark):
     return spark.createDataFrame(rows, "y int, s double, p int"), y, s
 
 
-@pytest.mark.parametrize("one_task_rows", [1_000_000, 37])
-def test_ranking_metrics_match_brute_force(scored, one_task_rows):
+@pytest.mark.parametrize("range_rows", [1_000_000, 37, 1])
+def test_ranking_metrics_match_brute_force(scored, range_rows):
     df, y, s = scored
-    row = evaluate.ranking_metrics(evaluate.score_table(df, "y", "s"), one_task_rows=one_task_rows).first()
+    row = evaluate.ranking_metrics(evaluate.score_table(df, "y", "s"), range_rows=range_rows).first()
     assert np.allclose(list(row), brute(y, s)), (list(row), brute(y, s))
 
 

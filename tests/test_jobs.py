@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from tallygrain.operators import evaluate, explain, score, split, target, train
+from tallygrain.operators import clean, evaluate, explain, score, split, target, train
 from tallygrain.operators.behavior import FEATURE_NAMES
 from tallygrain.operators.target import AS_CODED
 from tallygrain.plans import customers, prepare, supervised, training, transactions as tx_plan
@@ -173,8 +173,11 @@ def test_proxy_target_polarities_follow_their_quantiles(spark):
 def test_shapley_values_add_up(labelled):
     tr, te = split.stratified_split(labelled, "id", "y")
     run = train.search_model(tr, "gradient_boosting", "y", "id", train.standard_head(["x", "z"]), settings=[{"n_estimators": 3}], folds=1)
-    values = explain.shapley_values(run.model, te, "id", ["x", "z"], n_samples=40, permutations=5)
-    assert values.select("id").distinct().count() == 40 and values.count() == 80
+    values = explain.shapley_values(run.model, te, "id", ["x", "z"], permutations=5)
+    assert values.select("id").distinct().count() == te.count() and values.count() == 2 * te.count()
+    base = explain.expected_value(run.model, explain.background_table(te, "id", ["x", "z"]))
+    assert 0 <= base <= 1
+    assert explain.shapley_values(run.model, te, "id", ["x", "z"], n_samples=40, permutations=2).select("id").distinct().count() == 40
     assert explain.shapley_importance(values).first()["feature"] == "x"
     total = values.groupBy("id").agg(F.sum("shapley").alias("t"))
     assert total.where("abs(t) > 1").count() == 0
@@ -208,3 +211,36 @@ def test_run_records(spark):
         runs.append_run(runs.run_record(spark, name, {"roc_auc": 0.5, "gap": None}), path)
     got = spark.read.schema(runs.RUN_SCHEMA).json(path).orderBy("model_name").collect()
     assert [r["model_name"] for r in got] == ["first", "second"] and got[0]["metrics"] == {"roc_auc": 0.5}
+
+
+def test_csv_columns_are_matched_by_name(spark):
+    folder = scratch_path(spark, "named")
+    for name, lines in {"a": ["FraudResult,extra,TransactionId", "1,x,T1"], "b": ["TransactionId,FraudResult", "T2,0"]}.items():
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("append").text(folder)
+    rows = readers.read_csv_typed(spark, folder, readers.submission_schema()).collect()
+    assert sorted((r["TransactionId"], r["FraudResult"]) for r in rows) == [("T1", 1), ("T2", 0)]
+    other = scratch_path(spark, "lacking")
+    spark.createDataFrame([("TransactionId\nT1",)], "value string").coalesce(1).write.text(other)
+    with pytest.raises(ValueError, match="FraudResult"):
+        readers.read_csv_typed(spark, other, readers.submission_schema())
+
+
+def test_modes_are_decided_in_the_type_of_the_column(spark):
+    rows = [(9.0, 100, "b"), (10.0, 9, "a"), (9.0, 9, "b"), (10.0, 100, "a"), (float("nan"), None, None), (float("nan"), None, None), (float("nan"), None, None)]
+    df = spark.createDataFrame(rows, "x double, n long, s string")
+    assert clean.modal_values(df, ["x", "n", "s"]) == {"x": 9.0, "n": 9, "s": "a"}
+
+
+def test_depths_and_equal_candidates():
+    with pytest.raises(ValueError):
+        train.classifier("random_forest", {"max_depth": 31}, "y", "f")
+    space = {"min_samples_split": [2, 10], "min_samples_leaf": [1, 2, 5], "max_depth": [None, 30]}
+    assert len(train.draw_settings(space, 100)) == 3  # leaves of 1, 2 and 5 rows
+
+
+def test_rows_without_a_key_stay_in_label_joins(spark):
+    from tallygrain.operators.joins import label_join
+
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (3, "d")], "k long, v string")
+    labels = spark.createDataFrame([(1, 5), (None, 9)], "k long, y int")
+    assert sorted((r["v"], r["y"]) for r in label_join(rows, labels, "k").collect()) == [("a", 5), ("b", None), ("c", None), ("d", None)]
