@@ -47,6 +47,15 @@ def scale_robust(spark, sf):
     return _scaled(spark, sf, "robust")
 
 
+def impute_numeric_mode(spark, sf):
+    """The most frequent number in place of gaps; the smallest where several are."""
+    i = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    df = table(spark, sf, "lineitem").select(
+        i.alias("line"), F.when(i % 7 != 0, F.col("l_quantity")).alias("quantity"), F.when(i % 5 != 0, F.col("l_linenumber")).alias("number")
+    )
+    return encode.Fill.using(columns=["quantity", "number"], strategy="most_frequent").fit(df).transform(df)
+
+
 def impute_strategies(spark, sf):
     """Median, mean and most frequent value in place of gaps."""
     i = F.col("event_id")
@@ -249,7 +258,9 @@ def balanced_weights(spark, sf):
 def best_family(spark, sf):
     """Families compared by a metric: here each order status by its mean price."""
     per = table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("model_name")).agg(F.round(F.avg("o_totalprice"), 4).alias("roc_auc"))
-    return train.best_row(per)
+    per, _ = materialize(per, "families")
+    results = {r["model_name"]: train.Trained(r["model_name"], None, None, None, test_metrics={"roc_auc": r["roc_auc"]}) for r in per.orderBy("model_name").collect()}
+    return per.where(F.col("model_name") == train.best_family(results))
 
 
 # ---- clusters --------------------------------------------------------------
@@ -538,6 +549,7 @@ QUERIES = {
     "scale_minmax": scale_minmax,
     "scale_robust": scale_robust,
     "impute_strategies": impute_strategies,
+    "impute_numeric_mode": impute_numeric_mode,
     "onehot": onehot,
     "onehot_infrequent": onehot_infrequent,
     "variance_select": variance_select,
@@ -620,6 +632,10 @@ SQL = {
     "scale_only": _scale_sql("0", "STDDEV_POP({c})"),
     "scale_minmax": _scale_sql("MIN({c})", "(MAX({c}) - MIN({c}))"),
     "scale_robust": _scale_sql("quantile_cont({c}, 0.5)", "(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25))"),
+    "impute_numeric_mode": """WITH d AS (SELECT l_orderkey * 10 + l_linenumber AS line, CASE WHEN (l_orderkey * 10 + l_linenumber) % 7 <> 0 THEN l_quantity END AS quantity,
+      CASE WHEN (l_orderkey * 10 + l_linenumber) % 5 <> 0 THEN l_linenumber END AS number FROM lineitem)
+      SELECT line, COALESCE(quantity, (SELECT quantity FROM d WHERE quantity IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)) AS quantity,
+      COALESCE(number, (SELECT number FROM d WHERE number IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)) AS number FROM d""",
     "impute_strategies": f"""WITH d AS ({_DIRTY}), m AS (SELECT c AS top FROM d WHERE c IS NOT NULL GROUP BY c ORDER BY COUNT(*) DESC, c LIMIT 1)
       SELECT TransactionId, ROUND(COALESCE(a, (SELECT quantile_cont(a, 0.5) FROM d)), 6) AS a, ROUND(COALESCE(b, (SELECT AVG(b) FROM d)), 6) AS b,
         COALESCE(c, (SELECT top FROM m)) AS c, COALESCE(d, 'missing') AS d FROM d""",

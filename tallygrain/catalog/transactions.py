@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallygrain.catalog.customers import PROFILE_ROUNDING, PROFILE_SQL, TARGET_SQL
@@ -20,7 +21,7 @@ from tallygrain.columns import (
 from tallygrain.functions import amounts, casts, timefeat
 from tallygrain.operators import clean, eda, joins, merchant, outliers, rfm, split, target
 from tallygrain.operators.profile import CustomerProfiles
-from tallygrain.session import scratch_path
+from tallygrain.session import materialize, scratch_path
 from tallygrain.sources import readers, runs, sinks
 
 # ---- merchants -------------------------------------------------------------
@@ -76,10 +77,17 @@ def tx_cyclical_fixed(spark, sf):
 
 
 def season_flags(spark, sf):
-    df = timefeat.add_time_features(orders(spark, sf), "TransactionStartTime")
+    df = timefeat.add_time_features(events(spark, sf), "TransactionStartTime")
     return df.select("TransactionId", *[c for c in timefeat.TIME_FEATURES if c not in FIXED_WAVES])
 
 
+def calendar_columns(spark, sf):
+    """The calendar fields of the transaction path and of the preparation job."""
+    df = events(spark, sf).select("TransactionId", "TransactionStartTime")
+    df = timefeat.add_preparation_columns(timefeat.add_calendar_columns(df, "TransactionStartTime"), "TransactionStartTime")
+    return df.drop("TransactionStartTime").withColumn("transaction_date", F.date_format("transaction_date", "yyyy-MM-dd"))
+
+
 def tx_cyclical_max(spark, sf):
     df = timefeat.add_cyclical_by_max(events(spark, sf).select("TransactionId", "TransactionStartTime"), "TransactionStartTime", "t")
     names = [f"t_{f}_{w}" for f in timefeat.DEFAULT_CYCLIC for w in ("sin", "cos")]
@@ -285,8 +293,17 @@ def semi_join_customers(spark, sf):
 
 
 def sorted_transactions(spark, sf):
-    """Events by customer and time: the sort is the query."""
-    return events(spark, sf).orderBy("CustomerId", "TransactionStartTime").select("TransactionId", "CustomerId", "Value")
+    """Events by customer and time, with the place of each row in that order.
+
+    The sort is one distributed sort; places count on from the sizes of the parts before.
+    """
+    ordered = events(spark, sf).orderBy("CustomerId", "TransactionStartTime", "TransactionId").select("TransactionId", "CustomerId", "Value")
+    rows, _ = materialize(ordered.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), "sorted")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each task of the sort
+    parts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    parts = parts.select("part", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("at") - F.col("first") + 1
+    return rows.join(parts, "part").select("TransactionId", "CustomerId", "Value", place.alias("position"))
 
 
 def top_categories(spark, sf):
@@ -336,6 +353,19 @@ def csv_roundtrip(spark, sf):
     )
 
 
+def csv_shuffled_columns(spark, sf):
+    """Two files with other column orders and a further column, read by name."""
+    full = full_transactions(spark, sf)
+    folder = scratch_path(spark, "csv")
+    names = full.columns
+    half = F.col("TransactionId").cast("long") % 2 == 0
+    for part, order in ((full.where(half), names[::-1]), (full.where(~half), [*names[5:], *names[:5]])):
+        part.select(*order[:3], F.lit("more").alias("Further"), *order[3:]).write.mode("append").option("header", True).csv(folder)
+    return readers.read_csv_typed(spark, folder).select(
+        "TransactionId", "CustomerId", "Amount", "Value", "PricingStrategy", "FraudResult", F.unix_seconds("TransactionStartTime").alias("seconds")
+    )
+
+
 def untyped_scan(spark, sf):
     source = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     return readers.read_csv_untyped(spark, sinks.write_table(source, scratch_path(spark, "csv"), "csv"))
@@ -410,6 +440,7 @@ QUERIES = {
     "tx_cyclical_fixed": tx_cyclical_fixed,
     "tx_cyclical_max": tx_cyclical_max,
     "season_flags": season_flags,
+    "calendar_columns": calendar_columns,
     "fill_amounts": fill_amounts,
     "impute_typed": impute_typed,
     "trim_strings": trim_strings,
@@ -435,6 +466,7 @@ QUERIES = {
     "repeatable_sample": repeatable_sample,
     "customer_targets": customer_targets,
     "csv_roundtrip": csv_roundtrip,
+    "csv_shuffled_columns": csv_shuffled_columns,
     "untyped_scan": untyped_scan,
     "head_n": head_n,
     "multi_file_scan": multi_file_scan,
@@ -474,10 +506,14 @@ SQL = {
       CAST(isodow(ts) - 1 AS INTEGER) AS DayOfWeek, CAST(hour(ts) AS INTEGER) AS HourOfDay, strftime(ts, '%Y-%m-%d') AS transaction_date FROM events""",
     "tx_cyclical_fixed": f"SELECT event_id AS TransactionId, {_WAVES_FIXED} FROM events",
     "tx_cyclical_max": f"SELECT event_id AS TransactionId, {_WAVES_MAX} FROM events",
-    "season_flags": """SELECT o_orderkey AS TransactionId, CAST(isodow(o_orderdate) IN (6, 7) AS INTEGER) AS is_weekend,
-      CAST(hour(o_orderdate) BETWEEN 9 AND 16 AS INTEGER) AS is_business_hours, CAST(hour(o_orderdate) >= 22 OR hour(o_orderdate) < 6 AS INTEGER) AS is_night,
-      CAST(hour(o_orderdate) BETWEEN 7 AND 9 AS INTEGER) AS is_morning_rush, CAST(hour(o_orderdate) BETWEEN 16 AND 18 AS INTEGER) AS is_evening_rush,
-      CAST((month(o_orderdate) % 12 + 3) // 3 AS INTEGER) AS season FROM orders""",
+    "season_flags": """SELECT event_id AS TransactionId, CAST(isodow(ts) IN (6, 7) AS INTEGER) AS is_weekend,
+      CAST(hour(ts) BETWEEN 9 AND 16 AS INTEGER) AS is_business_hours, CAST(hour(ts) >= 22 OR hour(ts) < 6 AS INTEGER) AS is_night,
+      CAST(hour(ts) BETWEEN 7 AND 9 AS INTEGER) AS is_morning_rush, CAST(hour(ts) BETWEEN 16 AND 18 AS INTEGER) AS is_evening_rush,
+      CAST((month(ts) % 12 + 3) // 3 AS INTEGER) AS season FROM events""",
+    "calendar_columns": """SELECT event_id AS TransactionId, strftime(ts, '%Y-%m-%d') AS transaction_date, CAST(hour(ts) AS INTEGER) AS transaction_hour,
+      CAST(isodow(ts) - 1 AS INTEGER) AS transaction_day_of_week, CAST(day(ts) AS INTEGER) AS transaction_day_of_month, CAST(month(ts) AS INTEGER) AS transaction_month,
+      CAST(year(ts) AS INTEGER) AS transaction_year, CAST(hour(ts) AS INTEGER) AS TransactionHour, CAST(isodow(ts) - 1 AS INTEGER) AS TransactionDayOfWeek,
+      CAST(day(ts) AS INTEGER) AS TransactionDayOfMonth, CAST(month(ts) AS INTEGER) AS TransactionMonth FROM events""",
     "fill_amounts": f"SELECT TransactionId, COALESCE(Amount, 0) AS Amount, COALESCE(Value, 0) AS Value FROM ({DIRTY})",
     "impute_typed": f"""WITH d AS ({DIRTY}),
       cur AS (SELECT CurrencyCode AS c FROM d WHERE CurrencyCode IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1),
@@ -521,10 +557,11 @@ SQL = {
     "tx_risk_back_join": f"WITH {TARGET_SQL} SELECT TransactionId, tx.CustomerId, rfm_score FROM tx LEFT JOIN weighted ON tx.CustomerId = weighted.CustomerId",
     "label_left_join": "SELECT d.doc_id, lang, source, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "semi_join_customers": f"SELECT TransactionId, CustomerId, Amount FROM ({ORDERS}) WHERE CustomerId IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)",
-    "sorted_transactions": f"SELECT TransactionId, CustomerId, Value FROM ({EVENTS}) ORDER BY CustomerId, TransactionStartTime",
+    "sorted_transactions": f"SELECT TransactionId, CustomerId, Value, ROW_NUMBER() OVER (ORDER BY CustomerId, TransactionStartTime, TransactionId) AS position FROM ({EVENTS})",
     "top_categories": """SELECT p_brand AS value, COUNT(*) AS n, ROUND(COUNT(*) / (SELECT COUNT(p_brand) FROM part), 6) AS share FROM part WHERE p_brand IS NOT NULL
       GROUP BY p_brand ORDER BY n DESC, value LIMIT 10""",
     "customer_targets": f"SELECT DISTINCT CustomerId, FraudResult FROM ({ORDERS})",
+    "csv_shuffled_columns": f"SELECT TransactionId, CustomerId, Amount, Value, PricingStrategy, FraudResult, seconds FROM ({_FULL})",
     "csv_roundtrip": f"SELECT TransactionId, CustomerId, Amount, PricingStrategy, FraudResult, seconds FROM ({_FULL})",
     "untyped_scan": "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_totalprice, o_orderstatus FROM orders",
     "head_n": f"SELECT TransactionId, CustomerId, Value FROM ({ORDERS}) ORDER BY TransactionId LIMIT 10000",

@@ -192,5 +192,5 @@ def customer_wide_by_fraud(
     cleaned: DataFrame, cols: TxColumns = DEFAULT, snapshot: datetime | None = None, money_scale: int | None = None
 ) -> DataFrame:
     """Wide customer table with the fraud-history label."""
-    table, rows = wide_base(cleaned, cols, snapshot, money_scale)
-    return finish_wide(score_customers(table, cols.customer, rows), F.col("had_fraud"), cols)
+    table, _ = wide_base(cleaned, cols, snapshot, money_scale)
+    return finish_wide(score_customers(table, cols.customer), F.col("had_fraud"), cols)
