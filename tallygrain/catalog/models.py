@@ -12,6 +12,7 @@ from tallygrain.catalog.transactions import full_transactions, plus_zero
 from tallygrain.columns import numeric_columns
 from tallygrain.functions.amounts import risk_category
 from tallygrain.operators import encode, evaluate, explain, rfm, score, split, target, train, woe
+from tallygrain.operators.behavior import FEATURE_NAMES
 from tallygrain.operators.rfm import target_rfm_table
 from tallygrain.plans import customers as customer_plan
 from tallygrain.plans import prepare, supervised, training
@@ -318,7 +319,7 @@ def kmeans_label(spark, sf):
 
 def proxy_target(spark, sf):
     """Target path: labels on transactions."""
-    out, _ = target.proxy_target(orders(spark, sf), k=4, money_scale=2, restarts=2)
+    out, _ = target.proxy_target(orders(spark, sf), k=4, money_scale=2)
     return out.select("TransactionId", "CustomerId", "risk_rank", "rfm_score", "is_high_risk")
 
 
@@ -393,12 +394,12 @@ def score_stream(spark, sf):
 
 # ---- training --------------------------------------------------------------
 
-FEW = ["Recency", "Frequency", "Monetary", "StdTransactionValue", "CustomerLifetime"]
+NUMBERS = [c for c in FEATURE_NAMES if c != "RFM_Segment"]
 
 
 def labelled_customers(spark, sf):
     """Customer dataset with cluster labels, written once per call."""
-    df = customer_plan.customer_dataset(orders(spark, sf), restarts=2, money_scale=2)
+    df = customer_plan.customer_dataset(orders(spark, sf), money_scale=2)
     return materialize(df, "labelled")[0]
 
 
@@ -406,10 +407,10 @@ def _metrics(spark, name, metrics):
     return spark.createDataFrame([(name, k, float(v)) for k, v in metrics.items() if v is not None], "model string, metric string, value double")
 
 
-def _train(spark, sf, family, settings, folds=3):
+def _train(spark, sf, family, settings, folds=5):
     data = labelled_customers(spark, sf)
     tr, te = split.stratified_split(data, "CustomerId", "is_high_risk")
-    run = train.search_model(tr, family, "is_high_risk", "CustomerId", train.standard_head(FEW), settings=settings, folds=folds)
+    run = train.search_model(tr, family, "is_high_risk", "CustomerId", train.standard_head(NUMBERS), settings=settings, folds=folds)
     return run, te
 
 
@@ -421,13 +422,13 @@ def train_logistic(spark, sf):
 
 
 def train_forest(spark, sf):
-    run, te = _train(spark, sf, "random_forest", [{"n_estimators": 20, "max_depth": 10}], folds=1)
+    run, te = _train(spark, sf, "random_forest", [{"n_estimators": 100, "max_depth": 10}], folds=1)
     scored = train.predictions(run.model, te)
     return train.feature_importance(run.model, scored)
 
 
 def train_boosting(spark, sf):
-    run, te = _train(spark, sf, "gradient_boosting", [{"n_estimators": 10, "learning_rate": 0.1, "max_depth": 3}], folds=1)
+    run, te = _train(spark, sf, "gradient_boosting", [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}], folds=1)
     return train.predictions(run.model, te).select("CustomerId", "is_high_risk", "predicted", "risk_score")
 
 
@@ -435,15 +436,15 @@ def train_stacking(spark, sf):
     data = labelled_customers(spark, sf)
     tr, te = split.stratified_split(data, "CustomerId", "is_high_risk")
     model = train.train_stacking(
-        tr, "is_high_risk", "CustomerId", train.standard_head(FEW), {"rf_n_estimators": 10, "rf_max_depth": 5, "gb_n_estimators": 5}, folds=2
+        tr, "is_high_risk", "CustomerId", train.standard_head(NUMBERS), {"rf_n_estimators": 10, "rf_max_depth": 5, "gb_n_estimators": 5}, folds=2
     )
     return train.predictions(model, te).select("CustomerId", "is_high_risk", "predicted", "risk_score")
 
 
 def train_search(spark, sf):
     """Grid of logistic settings with their cross-validated areas."""
-    grid = train.draw_settings({"C": [0.01, 1.0], "penalty": ["l1", "l2"]}, 4)
-    run, _ = _train(spark, sf, "logistic_regression", grid, folds=2)
+    grid = train.draw_settings(train.LOGISTIC_SPACE, 12)
+    run, _ = _train(spark, sf, "logistic_regression", grid)
     return spark.createDataFrame(run.search, "settings string, cv_score double").withColumn(
         "best", F.col("settings") == params_text(run.best_settings)
     )
@@ -456,7 +457,7 @@ def train_families(spark, sf):
         "random_forest": {"n_estimators": [10], "max_depth": [5]},
         "gradient_boosting": {"n_estimators": [5], "max_depth": [3]},
     }
-    data = labelled_customers(spark, sf).select("CustomerId", *FEW, "is_high_risk")
+    data = labelled_customers(spark, sf).select("CustomerId", *NUMBERS, "is_high_risk")
     results, winner, _ = training.train_on_dataset(data, families=small, n_iter=1, folds=2)
     rows = [(f, float(r.cv_score), float(r.test_metrics["roc_auc"]), f == winner) for f, r in results.items()]
     return spark.createDataFrame(rows, "model_name string, cv_score double, roc_auc double, best boolean")
@@ -483,7 +484,7 @@ def run_metadata(spark, sf):
 def shapley(spark, sf):
     """Mean absolute attributions of a boosting model."""
     run, te = _train(spark, sf, "gradient_boosting", [{"n_estimators": 5, "max_depth": 3}], folds=1)
-    values = explain.shapley_values(run.model, te, "CustomerId", FEW, n_samples=1000, permutations=3)
+    values = explain.shapley_values(run.model, te, "CustomerId", NUMBERS)
     return explain.shapley_importance(values)
 
 
@@ -531,7 +532,7 @@ def transaction_dataset(spark, sf):
     from tallygrain.operators.clean import clean_transaction_path
 
     features = transaction_plan.transaction_features(clean_transaction_path(full_transactions(spark, sf)))
-    return transaction_plan.add_target(features, restarts=2, money_scale=2)
+    return transaction_plan.add_target(features, money_scale=2)
 
 
 def prepare_dataset(spark, sf):
