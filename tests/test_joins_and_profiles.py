@@ -1,9 +1,11 @@
+import pytest
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tallygrain.columns import TxColumns
 from tallygrain.operators.joins import build_lookup, lookup_join, semi_join
+from tallygrain.operators import merchant
 from tallygrain.operators.merchant import MerchantProfiles
 from tallygrain.operators.profile import PROFILE_FEATURES, CustomerProfiles
 
@@ -67,3 +69,23 @@ def test_merchants_and_affinity(spark):
 def test_semi_join_keeps_rows_once(spark):
     wanted = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert semi_join(spark.createDataFrame([(1, "x"), (3, "y")], "k int, v string"), wanted, "k").collect() == [(1, "x")]
+
+
+def test_merchant_statistics_merge_from_pairs(spark):
+    """Large amounts of little spread keep their digits; single rows and missing amounts as in one aggregation."""
+    i = F.col("id")
+    tx = spark.range(2000).select(
+        (i % 37).alias("CustomerId"), F.when(i % 11 != 0, (i % 13).cast("string")).alias("ProviderId"),
+        F.when(i % 17 != 0, F.lit(1e9) + F.sin(i.cast("double"))).alias("Amount"), (i % 5 == 0).cast("int").alias("FraudResult"),
+    ).unionAll(spark.createDataFrame([(1, "single", 3.5, 1), (2, "none", None, 0)], "c long, p string, a double, f int"))
+    pairs = merchant.pair_statistics(tx)
+    want = {r["ProviderId"]: r for r in merchant.merchant_statistics(tx).collect()}
+    got = {r["ProviderId"]: r for r in merchant.merchants_of_pairs(pairs).collect()}
+    assert set(got) == set(want)
+    for name, row in want.items():
+        assert got[name]["merchant_tx_count"] == row["merchant_tx_count"] and got[name]["merchant_fraud_rate"] == pytest.approx(row["merchant_fraud_rate"])
+        for column in ("merchant_avg_amount", "merchant_std_amount"):
+            if row[column] is None:
+                assert got[name][column] is None
+            else:
+                assert got[name][column] == pytest.approx(row[column], rel=1e-6 if column == "merchant_std_amount" else 1e-12)
