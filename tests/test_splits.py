@@ -18,7 +18,7 @@ def test_quotas_use_largest_remainders():
     assert sum(split.train_quotas([5, 5, 1], 0.3)) == 11 - 4
 
 
-@pytest.mark.parametrize("tuning", [{}, {"small": 10, "accuracy": 100, "limit": 50}])
+@pytest.mark.parametrize("tuning", [{}, {"accuracy": 100, "limit": 50}])
 def test_stratified_split_is_exact_and_disjoint(rows, tuning):
     train, test = split.stratified_split(rows, "id", "y", 0.2, **tuning)
     assert (train.count(), test.count()) == (802, 201)
