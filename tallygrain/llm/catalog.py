@@ -8,6 +8,7 @@ from tallygrain.llm.extraction import html_query
 from tallygrain.llm.licenses import license_query
 from tallygrain.llm.lm_score import lm_query
 from tallygrain.llm.packing import packing_query
+from tallygrain.llm.prefix_trie import TRIE_SQL, trie_query
 from tallygrain.llm.quality import quality_query
 from tallygrain.llm.simhash import simhash_query
 from tallygrain.llm.spotsigs import spotsigs_query
@@ -24,6 +25,9 @@ QUERIES = {
     "op8_lm_score": lm_query,
     "op9_spotsigs": spotsigs_query,
     "op10_license_zstd": license_query,
+    "op13_prefix_trie": trie_query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_prefix_trie": TRIE_SQL,
+}
