@@ -8,6 +8,7 @@ from tallygrain.llm.extraction import html_query
 from tallygrain.llm.licenses import license_query
 from tallygrain.llm.lm_score import lm_query
 from tallygrain.llm.packing import packing_query
+from tallygrain.llm.periodic import PERIODIC_SQL, periodic_query
 from tallygrain.llm.prefix_trie import TRIE_SQL, trie_query
 from tallygrain.llm.quality import quality_query
 from tallygrain.llm.simhash import simhash_query
@@ -25,9 +26,11 @@ QUERIES = {
     "op8_lm_score": lm_query,
     "op9_spotsigs": spotsigs_query,
     "op10_license_zstd": license_query,
+    "op11_dyadic_runs": periodic_query,
     "op13_prefix_trie": trie_query,
 }
 
 SQL: dict[str, str] = {
+    "op11_dyadic_runs": PERIODIC_SQL,
     "op13_prefix_trie": TRIE_SQL,
 }

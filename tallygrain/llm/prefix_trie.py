@@ -225,7 +225,7 @@ def trie_query(spark, sf_dir: str) -> DataFrame:
 
 
 #: crc32 over decimal digits: each character, then eight shifts.
-_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
 
 TRIE_SQL = f"""
@@ -233,7 +233,7 @@ WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') A
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
   FROM conversations WHERE conv_id IS NOT NULL),
 ids AS (SELECT DISTINCT c FROM t),
-h AS (SELECT c, c - c % 5 AS base, ({_CRC}) % 9 AS h FROM ids),
+h AS (SELECT c, c - c % 5 AS base, ({CRC}) % 9 AS h FROM ids),
 r AS (SELECT h.c, t.place, role, text FROM h JOIN t ON t.c = h.base AND t.place < h.h
   UNION ALL SELECT h.c, 1000 + t.place, role, text FROM h JOIN t ON t.c = h.c AND t.place >= h.h),
 way AS (SELECT c, list((role, text) ORDER BY place) AS turns FROM r GROUP BY c),
