@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallygrain.llm.ann import ann_query
 from tallygrain.llm.bpe_codec import bpe_query
 from tallygrain.llm.extraction import html_query
+from tallygrain.llm.jaccard_join import JACCARD_SQL, jaccard_query
 from tallygrain.llm.licenses import license_query
 from tallygrain.llm.lm_score import lm_query
 from tallygrain.llm.packing import packing_query
@@ -27,10 +28,12 @@ QUERIES = {
     "op9_spotsigs": spotsigs_query,
     "op10_license_zstd": license_query,
     "op11_dyadic_runs": periodic_query,
+    "op12_jaccard_voronoi": jaccard_query,
     "op13_prefix_trie": trie_query,
 }
 
 SQL: dict[str, str] = {
     "op11_dyadic_runs": PERIODIC_SQL,
+    "op12_jaccard_voronoi": JACCARD_SQL,
     "op13_prefix_trie": TRIE_SQL,
 }
