@@ -11,7 +11,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def test_registered_queries(spark, sf_dir):
     names = list(__spark_entry__.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
