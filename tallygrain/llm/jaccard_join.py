@@ -39,8 +39,8 @@ from tallygrain.llm.simhash import hashes, shingles
 CHUNK_BITS, LEAST_BITS, TEXTS_A_PART = 9, 8, 4096
 #: Times in a chunk from which on a shingle travels as a count.
 FREQUENT = 16
-#: Pairs left for each row of the regions at which they are joined, and rounds of pivots at most.
-FEW, ROUNDS = 8, 6
+#: Comparisons left for each row of the regions at which they are made, rounds of pivots at most, and ids to broadcast.
+FEW, ROUNDS, SMALL = 512, 6, 500_000
 EPS = 1e-9
 
 
@@ -212,48 +212,55 @@ def joined_groups(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame,
     def numbers(batch: pa.RecordBatch) -> dict:
         return {"id": batch.column("id"), "set": pa.array([shingle_set(t, size).tobytes() for t in binary_lists(batch.column("text"))], pa.binary())}
 
-    sets, _ = materialize(per_batch(texts.join(regions.select("id").distinct(), "id", "left_semi").select("id", "text"), numbers, "id long, set binary"), "sets")
-    links, measured, named, windows = None, None, None, []
+    wanted, size_of = materialize(regions.select("id").distinct(), "wanted", {"n": F.count(F.lit(1))})
+    wanted = F.broadcast(wanted) if size_of["n"] <= SMALL else wanted
+    sets, _ = materialize(per_batch(texts.join(wanted, "id", "left_semi").select("id", "text"), numbers, "id long, set binary"), "sets")
+    if not here["n"]:
+        return components(regions.select(F.col("id").alias("a"), F.col("id").alias("b"))), sizes
+    links, measured, windows, few = None, None, [], FEW * here["n"]
     linked = F.expr(f"100 * common >= {percent} * either")
-    while here["n"]:
+    while True:
         pivots = regions.where("not guest").groupBy("token").agg(F.max(F.struct("score", "id")).alias("best")).select("token", F.col("best.id").alias("pivot"))
         ways = regions.join(pivots, "token").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         fresh, _ = materialize(distances(ways if measured is None else ways.join(measured, ["a", "b"], "left_anti"), sets), "distances")
         measured = fresh if measured is None else measured.union(fresh)
         near = fresh.where(linked).select("a", "b")
         links = near if links is None else links.union(near)
-        named, _ = materialize(components(links).select(F.col("node").alias("id"), "component"), "cells")
+        cells, _ = materialize(components(links).select(F.col("node").alias("id"), F.col("component").alias("group")), "cells")
         window = f"v{len(windows)}"
         away = measured.withColumn(window, 1 - F.col("common") / F.col("either"))
         to_pivot = away.select(F.col("a").alias("id"), F.col("b").alias("pivot"), window).union(away.select(F.col("b").alias("id"), F.col("a").alias("pivot"), window))
-        own = lambda df, key="id": df.join(named.select(F.col("id").alias(key), F.col("component").alias("group")), key, "left").withColumn("group", F.coalesce("group", key))  # noqa: E731, B023
-        placed = own(regions.drop("group")).join(own(pivots, "pivot").withColumnRenamed("group", "top"), "token")
+        placed = _in_groups(regions.drop("group"), cells, "id", "group").join(_in_groups(pivots, cells, "pivot", "top"), "token")
         placed = placed.join(to_pivot, ["id", "pivot"], "left").withColumn(window, F.coalesce(window, F.lit(0.0)))
-        placed = placed.withColumn("guest", F.col("group") == F.col("top")).drop("pivot", "top")
-        placed, _ = materialize(placed, "placed")
+        placed, _ = materialize(placed.withColumn("guest", F.col("group") == F.col("top")).drop("pivot", "top"), "placed")
+        windows.append(window)
+        per_region = placed.groupBy("token").agg(F.count(F.lit(1)).cast("double").alias("k"), F.count_if(~F.col("guest")).cast("double").alias("free"))
+        left = per_region.agg(F.sum(F.col("free") * F.col("k"))).first()[0] or 0
+        if left <= few or len(windows) >= ROUNDS:
+            break
         # The boundary: connected with the pivot, and in the window of a text that is not.
         rest = placed.where("not guest").groupBy("token").agg(F.min(window).alias("low"), F.max(window).alias("high"))
         kept = placed.join(rest, "token").where(f"not guest or {window} between low - {r + EPS} and high + {r + EPS}").drop("low", "high")
-        windows.append(window)
-        per_region = kept.groupBy("token").agg(F.count(F.lit(1)).cast("double").alias("k"), F.count_if(~F.col("guest")).cast("double").alias("free"))
         regions, _ = materialize(kept, "regions")
-        left = per_region.agg(F.sum(F.col("k")).alias("n"), F.sum(F.col("free") * F.col("k")).alias("pairs")).first()
-        here = {"n": left["n"] or 0}
-        if not here["n"] or left["pairs"] <= FEW * here["n"] or len(windows) >= ROUNDS:
-            break
-    if links is None:
-        return components(regions.select(F.col("id").alias("a"), F.col("id").alias("b"))), sizes
-    if here["n"]:
-        x, y = regions.alias("x"), regions.alias("y")
-        least = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-        near = (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.group") != F.col("y.group"))
-        near = near & (100 * least >= percent * (F.col("x.n") + F.col("y.n") - least))
-        for w in windows:
-            near = near & (F.abs(F.col(f"x.{w}") - F.col(f"y.{w}")) <= r + EPS)
-        pairs = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(measured, ["a", "b"], "left_anti")
-        last, _ = materialize(distances(pairs, sets).where(linked).select("a", "b"), "links")
-        links = links.union(last)
-    return components(links), sizes
+    # What is left, and the boundaries it has: all pairs that may be near and are not connected.
+    x, y = placed.where("not guest").alias("x"), placed.alias("y")
+    least = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    near = (F.col("x.token") == F.col("y.token")) & (F.col("x.group") != F.col("y.group")) & (F.col("y.guest") | (F.col("x.id") < F.col("y.id")))
+    near = near & (100 * least >= percent * (F.col("x.n") + F.col("y.n") - least))
+    for w in windows:
+        near = near & (F.abs(F.col(f"x.{w}") - F.col(f"y.{w}")) <= r + EPS)
+    pairs = x.join(y, near).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(measured, ["a", "b"], "left_anti")
+    last, _ = materialize(distances(pairs, sets).where(linked).select("a", "b"), "links")
+    # These join cells, so only the cells' graph is left to connect.
+    between = _in_groups(_in_groups(last, cells, "a", "ga"), cells, "b", "gb").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    whole, _ = materialize(components(between).select(F.col("node").alias("group"), "component"), "whole")
+    nodes = cells.union(last.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(cells, "id", "left_anti").select("id", F.col("id").alias("group")))
+    return nodes.join(whole, "group", "left").select(F.col("id").alias("node"), F.coalesce("component", "group").alias("component")), sizes
+
+
+def _in_groups(rows: DataFrame, cells: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with the cell of the text in ``key``; a text without a link is its own."""
+    return rows.join(cells.select(F.col("id").alias(key), F.col("group").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
 
 
 def jaccard_groups(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
