@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tallygrain.catalog import customers, models, profiling, transactions
+from tallygrain.catalog import customers, facts, models, profiling, transactions
 
-MODULES = [customers, transactions, models, profiling]
+MODULES = [customers, transactions, models, facts, profiling]
 
 
 def queries() -> dict:

@@ -170,6 +170,36 @@ def time_series_folds(df: DataFrame, time: str, key: str, k: int = 5, **tuning)
     ]
 
 
+def time_series_plan(df: DataFrame, time: str, key: str, k: int = 5, gap: int = 0, **tuning) -> DataFrame:
+    """Adds fold (the block of ``time_series_blocks``) and usable, the first fold that may train on the row.
+
+    Fold i (1 to k) is tested on block i and trains on all rows up to ``gap`` rows before it. The training
+    parts grow, so one number says all: a row is in the training part of the folds from ``usable`` on.
+    All cuts come from one search for order statistics; a row's numbers are comparisons with literals.
+    """
+    if gap < 0:
+        raise ValueError("gap must not be negative")
+    order, tie = micros(F.col(time)), F.col(key)
+
+    def end(i: int, less: int):
+        return lambda n: max(0, n - (k - i) * (n // (k + 1)) - less)
+
+    plain = [rank_target((i + 1) / (k + 1), end(i, 0)) for i in range(k)]
+    if not gap:
+        _, cuts = cut_points(df, order, tie, {0: plain}, **tuning)
+        passed = cuts_passed(cuts[0], order, tie)
+        return df.withColumns({"fold": passed, "usable": passed + 1})
+    early = [rank_target((i + 1) / (k + 1), end(i, gap)) for i in range(k)]
+    _, cuts = cut_points(df, order, tie, {0: [*plain, *early]}, **tuning)
+    return df.withColumns({"fold": cuts_passed(cuts[0][:k], order, tie), "usable": cuts_passed(cuts[0][k:], order, tie) + 1})
+
+
+def fold_parts(folded: DataFrame, fold: int) -> tuple[Column, Column]:
+    """(training rows, test rows) of a fold of ``stratified_folds`` or, if there is a column usable, ``time_series_plan``."""
+    test = F.col("fold") == fold
+    return (F.col("usable") <= fold if "usable" in folded.columns else ~test), test
+
+
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42, **tuning) -> DataFrame:
     """A repeatable sample of exactly n rows (all rows when there are fewer)."""
     total = df.count()

@@ -4,23 +4,29 @@ from __future__ import annotations
 
 import itertools
 import random
+import time as clock
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.operators.encode import Scale, feature_names, preprocessing
 from tallygrain.operators.evaluate import evaluate
-from tallygrain.operators.split import stratified_folds
+from tallygrain.operators.grid_logistic import grid_areas
+from tallygrain.operators.split import fold_parts, stratified_folds, time_series_plan
+from tallygrain.session import materialize
 from tallygrain.sources.runs import params_text
 
 WEIGHT = "class_weight"
+#: Rows of a part of a table that many small fits share.
+ROWS_OF_A_PART = 100_000
 
 # Search spaces of the model families.
 LOGISTIC_SPACE = {"C": [0.001, 0.01, 0.1, 1, 10, 100], "penalty": ["l1", "l2"]}
@@ -140,6 +146,8 @@ class Trained:
     best_settings: dict | None
     search: list[tuple[str, float]] = field(default_factory=list)
     test_metrics: dict[str, float] = field(default_factory=dict)
+    train_metrics: dict[str, float] = field(default_factory=dict)
+    seconds: float | None = None
 
 
 def predictions(model: PipelineModel, df: DataFrame, score: str = "risk_score", label: str = "predicted") -> DataFrame:
@@ -161,11 +169,16 @@ def search_model(
     folds: int = 5,
     seed: int | None = 42,
     parallelism: int = 4,
+    time: str | None = None,
+    gap: int = 0,
 ) -> Trained:
     """Cross-validated search over a list of settings, refit on all rows.
 
-    Folds are exact stratified folds; with ``seed`` None they follow the key's order.
+    Folds are exact stratified folds; with ``seed`` None they follow the key's order. With ``time``
+    they follow time instead: each is tested on the block after its training rows, ``gap`` rows
+    apart. All logistic settings and folds are fitted in the same passes over the rows.
     """
+    begun = clock.monotonic()
     weighted = add_class_weight(train, label)
     weight_sum = float(weighted.count())  # balanced weights add up to the row count
     settings = settings or [{}]
@@ -173,15 +186,22 @@ def search_model(
     if family in ("random_forest", "gradient_boosting"):  # records say which depth was used
         settings = [s | {"max_depth": used_depth(s, 3 if family == "gradient_boosting" else None)} for s in settings]
     if len(settings) == 1 and folds < 2:
-        return Trained(family, Pipeline(stages=[*head, tails[0]]).fit(weighted), None, settings[0])
-    areas = cross_validate(stratified_folds(weighted, key, label, folds, seed, "fold"), head, tails, label, folds, parallelism)
+        return Trained(family, Pipeline(stages=[*head, tails[0]]).fit(weighted), None, settings[0], seconds=clock.monotonic() - begun)
+    if time:
+        folded, numbers = time_series_plan(weighted, time, key, folds, gap), list(range(1, folds + 1))
+    else:
+        folded, numbers = stratified_folds(weighted, key, label, folds, seed, "fold"), list(range(folds))
+    if family == "logistic_regression":
+        areas = grid_areas(folded, head, settings, label, WEIGHT, features, weight_sum, numbers)
+    else:
+        areas = cross_validate(folded, head, tails, label, numbers, parallelism)
     best = max(range(len(settings)), key=lambda i: areas[i])
     final = Pipeline(stages=[*head, tails[best]]).fit(weighted)
-    return Trained(family, final, areas[best], settings[best], list(zip([params_text(s) for s in settings], areas)))
+    return Trained(family, final, areas[best], settings[best], list(zip([params_text(s) for s in settings], areas)), seconds=clock.monotonic() - begun)
 
 
 def cross_validate(
-    folded: DataFrame, head: list, tails: list, label: str, folds: int, parallelism: int = 4
+    folded: DataFrame, head: list, tails: list, label: str, folds: list[int], parallelism: int = 4
 ) -> list[float]:
     """Mean area under the ROC curve of every candidate.
 
@@ -191,17 +211,18 @@ def cross_validate(
     """
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     totals = [0.0] * len(tails)
-    for f in range(folds):
-        prepared = Pipeline(stages=head).fit(folded.where(F.col("fold") != f))
-        rows = prepared.transform(folded).persist()
-        fit_rows, held = rows.where(F.col("fold") != f), rows.where(F.col("fold") == f)
+    for f in folds:
+        trained, tested = fold_parts(folded, f)
+        prepared = Pipeline(stages=head).fit(folded.where(trained))
+        rows = prepared.transform(folded.where(trained | tested)).persist()
+        fit_rows, held = rows.where(trained), rows.where(tested)
         try:
             rows.count()  # fill the cache once, before the candidates share it
             with ThreadPoolExecutor(max_workers=parallelism) as pool:
                 areas = list(pool.map(lambda tail: evaluator.evaluate(tail.fit(fit_rows).transform(held)), tails))
         finally:
             rows.unpersist()
-        totals = [t + a / folds for t, a in zip(totals, areas)]
+        totals = [t + a / len(folds) for t, a in zip(totals, areas)]
     return totals
 
 
@@ -237,6 +258,7 @@ def train_families(
         chosen = draw_settings(space, n_iter, seed)
         stages = head if head is not None else standard_head(numeric)
         run = search_model(train, family, label, key, stages, settings=chosen, folds=folds, seed=None, parallelism=parallelism)
+        run.train_metrics = evaluate(predictions(run.model, train), label, "predicted", "risk_score")
         if test is not None:
             run.test_metrics = evaluate(predictions(run.model, test), label, "predicted", "risk_score")
         results[family] = run
@@ -285,36 +307,53 @@ def top_features(importance: DataFrame, n: int | None = None) -> DataFrame:
     return ordered if n is None else ordered.limit(n)
 
 
-@dataclass
-class Stacked:
-    """Forest and boosting under a logistic model on their probabilities."""
-
-    head: PipelineModel
-    bases: list
-    final: PipelineModel
+class Stacked(Model, MLWritable, MLReadable):
+    """Forest and boosting under a logistic model on their probabilities; an ML model like any other."""
 
-    def save(self, path: str) -> str:
-        """All parts below one folder."""
-        self.head.write().overwrite().save(f"{path}/head")
-        for i, base in enumerate(self.bases):
-            PipelineModel([base]).write().overwrite().save(f"{path}/base-{i}")
-        self.final.write().overwrite().save(f"{path}/final")
-        return path
+    def __init__(self, head: PipelineModel, bases: list, final: PipelineModel):
+        super().__init__()
+        self.head, self.bases, self.final = head, bases, final
 
-    @classmethod
-    def load(cls, path: str, bases: int = 2) -> Stacked:
-        return cls(
-            PipelineModel.load(f"{path}/head"),
-            [PipelineModel.load(f"{path}/base-{i}").stages[0] for i in range(bases)],
-            PipelineModel.load(f"{path}/final"),
-        )
+    @property
+    def stages(self) -> list:
+        return [*self.head.stages, *self.bases, *self.final.stages]
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def _transform(self, df: DataFrame) -> DataFrame:
         rows = self.head.transform(df)
         for i, base in enumerate(self.bases):
             rows = _base_score(base, rows, f"stack_{i}")
         return self.final.transform(rows)
 
+    def write(self) -> MLWriter:
+        return _StackedWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StackedReader()
+
+
+class _StackedWriter(MLWriter):
+    """Metadata, and all parts as pipelines below one folder."""
+
+    def __init__(self, model: Stacked):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, {"bases": len(self.model.bases)})
+        parts = {"head": self.model.head, "final": self.model.final} | {f"base-{i}": PipelineModel([b]) for i, b in enumerate(self.model.bases)}
+        for name, part in parts.items():
+            part.write().save(f"{path}/{name}")
+
+
+class _StackedReader(MLReader):
+    def load(self, path: str) -> Stacked:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        bases = [PipelineModel.load(f"{path}/base-{i}").stages[0] for i in range(metadata["bases"])]
+        model = Stacked(PipelineModel.load(f"{path}/head"), bases, PipelineModel.load(f"{path}/final"))
+        model._resetUid(metadata["uid"])
+        return model
+
 
 def _base_score(model, rows: DataFrame, name: str) -> DataFrame:
     scored = model.transform(rows)
@@ -330,31 +369,42 @@ def train_stacking(
     folds: int = 5,
     seed: int = 42,
     features: str = "features",
+    parallelism: int = 8,
 ) -> Stacked:
-    """The final model sees only out-of-fold probabilities of the base models."""
+    """The final model sees only out-of-fold probabilities of the base models.
+
+    The base models of all folds, and those of all rows, are fitted side by side from one written
+    table, which has as many parts as its rows need.
+    """
     settings = settings or {}
     forest = {"n_estimators": settings.get("rf_n_estimators", 100), "max_depth": settings.get("rf_max_depth"), "class_weight": None}
     boosting = {"n_estimators": settings.get("gb_n_estimators", 100), "learning_rate": settings.get("gb_learning_rate", 0.1)}
     fitted_head = Pipeline(stages=head).fit(train)
-    ready = stratified_folds(fitted_head.transform(train), key, label, folds, None, "fold").persist()
+    ready, seen = materialize(stratified_folds(fitted_head.transform(train), key, label, folds, None, "fold"), "stack", {"n": F.count(F.lit(1))})
+    ready = ready.coalesce(max(1, -(-seen["n"] // ROWS_OF_A_PART))).persist()
+    makers = [
+        lambda: classifier("random_forest", forest, label, features, seed=seed),
+        lambda: classifier("gradient_boosting", boosting, label, features, seed=seed),
+    ]
+    tasks = [(i, f) for i in range(len(makers)) for f in (*range(folds), None)]
     try:
-        makers = [
-            lambda: classifier("random_forest", forest, label, features, seed=seed),
-            lambda: classifier("gradient_boosting", boosting, label, features, seed=seed),
-        ]
+        ready.count()  # fill the cache once, before the fits share it
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            fits = pool.map(lambda t: makers[t[0]]().fit(ready if t[1] is None else ready.where(F.col("fold") != t[1])), tasks)
+            fitted = dict(zip(tasks, fits))
         parts = None
         for f in range(folds):
             held = ready.where(F.col("fold") == f)
-            for i, make in enumerate(makers):
-                held = _base_score(make().fit(ready.where(F.col("fold") != f)), held, f"stack_{i}")
+            for i in range(len(makers)):
+                held = _base_score(fitted[i, f], held, f"stack_{i}")
             parts = held if parts is None else parts.unionByName(held)
         assembler = VectorAssembler(inputCols=["stack_0", "stack_1"], outputCol="stack_features")
-        stacked = add_class_weight(parts, label)
-        final = classifier("logistic_regression", {"C": 1.0, "max_iter": 100}, label, "stack_features", float(ready.count()))
+        stacked = add_class_weight(materialize(parts.select(label, "stack_0", "stack_1"), "stack-scores")[0], label)
+        final = classifier("logistic_regression", {"C": 1.0, "max_iter": 100}, label, "stack_features", float(seen["n"]))
         final_model = Pipeline(stages=[assembler, final]).fit(stacked)
-        bases = [make().fit(ready) for make in makers]
     finally:
         ready.unpersist()
+    bases = [fitted[i, None] for i in range(len(makers))]
     return Stacked(fitted_head, bases, final_model)
 
 

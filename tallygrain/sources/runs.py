@@ -6,6 +6,7 @@ import json
 import os
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,7 +68,7 @@ def save_model(
     search: DataFrame | None = None,
     moment: datetime | None = None,
 ) -> str:
-    """Model, run record, importances and search results below one dated folder."""
+    """Model, run record, importances and search results below one dated folder. A stacked model is saved like any other."""
     spark = SparkSession.active()
     moment = moment or datetime.now()
     path = os.path.join(folder, f"{model_name}_{moment:%Y%m%d_%H%M%S}")
@@ -77,12 +78,26 @@ def save_model(
     record.coalesce(1).write.json(os.path.join(path, "metadata"))
     for name, table in (("feature_importances", importances), ("cv_results", search)):
         if table is not None:
-            table.coalesce(1).write.option("header", True).csv(os.path.join(path, name))
+            table.coalesce(1).write.option("header", True).option("escape", '"').csv(os.path.join(path, name))
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(os.path.join(path, "model"))
+def load_model(path: str, kind: type = PipelineModel):
+    """The saved model; ``kind`` is the class that reads it."""
+    return kind.load(os.path.join(path, "model"))
+
+
+def load_results(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The run record and, where they were saved, feature_importances and cv_results of a run's folder."""
+    found = {"metadata": spark.read.schema(RUN_SCHEMA).json(os.path.join(path, "metadata"))}
+    tables = {"feature_importances": "feature string, importance double", "cv_results": "settings string, cv_score double"}
+    for name, schema in tables.items():
+        try:
+            found[name] = spark.read.schema(schema).option("header", True).option("escape", '"').csv(os.path.join(path, name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
 
 
 def params_text(params: dict) -> str:
