@@ -33,7 +33,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PART_ROWS, CURVATURE = 100_000, 1 << 22
 #: Partial sums of a fold that the driver adds up itself; more are merged by tasks first.
 MERGED = 64
-PASSES, TOLERANCE = 100, 1e-9
+PASSES, SWEEPS, TOLERANCE = 100, 200, 1e-8
 
 
 def fold_rows(folded: DataFrame, head: list, label: str, weight: str, features: str, folds: list[int]) -> tuple[DataFrame, dict[int, int]]:
@@ -85,8 +85,8 @@ def _sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, beta: np.ndarray, curved:
     return out
 
 
-def one_pass(train: DataFrame, betas: dict[int, np.ndarray], curved: bool) -> dict[int, np.ndarray]:
-    """The sums of all models over all rows of (model, y, w, x): one job."""
+def one_pass(train: DataFrame, betas: dict[int, np.ndarray], curved: bool, many: bool) -> dict[int, np.ndarray]:
+    """The sums of all models over all rows of (model, y, w, x): one job. ``many``: tasks merge partial sums first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -102,7 +102,7 @@ def one_pass(train: DataFrame, betas: dict[int, np.ndarray], curved: bool) -> di
         return pa.table({"model": rows.column("model")[:1], "sums": pa.array([added.tobytes()], pa.binary())})
 
     parts = train.mapInArrow(run, "model int, sums binary")
-    if train.rdd.getNumPartitions() > MERGED:
+    if many:
         parts = parts.groupBy("model", F.pmod(F.spark_partition_id(), F.lit(MERGED)).alias("at")).applyInArrow(merged, "model int, sums binary")
     out: dict[int, np.ndarray] = {}
     for r in parts.collect():
@@ -111,27 +111,41 @@ def one_pass(train: DataFrame, betas: dict[int, np.ndarray], curved: bool) -> di
     return out
 
 
-def _proximal_step(beta: np.ndarray, gradient: np.ndarray, curvature: np.ndarray, l1: float, l2: float) -> np.ndarray:
-    """The minimum of the local quadratic model with both penalties, by coordinate descent; entry 0 is free."""
-    ridge = np.full(len(beta), l2)
-    ridge[0] = 0.0
-    h = curvature + np.diag(ridge + 1e-10 * (1 + np.diag(curvature).max()))
+def _proximal_steps(beta: np.ndarray, gradient: np.ndarray, curvature: np.ndarray, l1: np.ndarray, l2: np.ndarray) -> np.ndarray:
+    """Towards the minima of local quadratic models with both penalties: (models, d), curvatures (models, d, d).
+
+    Entry 0 is free of penalties. Without l1 the minimum is a linear system; with it, coordinates are
+    moved in turn, all models side by side, until moves are small beside the first ones, as a
+    quadratic model is no better than that far from its point.
+    """
+    m, d = beta.shape
+    ridge = np.repeat(l2[:, None], d, axis=1)
+    ridge[:, 0] = 0.0
+    diagonal = np.arange(d)
+    h = curvature.copy()
+    h[:, diagonal, diagonal] += ridge + 1e-10 * (1 + h[:, diagonal, diagonal].max(axis=1, keepdims=True))
     slope = gradient + ridge * beta
-    if not l1:
-        return beta - np.linalg.solve(h, slope)
-    new, pull = beta.copy(), slope.copy()  # pull is the slope of the quadratic model at ``new``
-    for _ in range(1000):
-        largest = 0.0
-        for j in range(len(beta)):
-            z = new[j] * h[j, j] - pull[j]
-            to = z / h[j, j] if j == 0 else math.copysign(max(abs(z) - l1, 0.0), z) / h[j, j]
-            move = to - new[j]
-            if move:
-                new[j] = to
-                pull += h[:, j] * move
-                largest = max(largest, abs(move) * math.sqrt(h[j, j]))
-        if largest < 1e-10:
-            break
+    new = beta.copy()
+    plain, sparse = np.flatnonzero(l1 == 0), np.flatnonzero(l1 > 0)
+    if len(plain):
+        new[plain] -= np.linalg.solve(h[plain], slope[plain][:, :, None])[:, :, 0]
+    if len(sparse):
+        h, at, pull, bound = h[sparse], beta[sparse].copy(), slope[sparse].copy(), l1[sparse]
+        own = h[:, diagonal, diagonal]
+        first = None
+        for _ in range(SWEEPS):
+            largest = np.zeros(len(sparse))
+            for j in range(d):
+                z = at[:, j] * own[:, j] - pull[:, j]
+                to = (z if j == 0 else np.sign(z) * np.maximum(np.abs(z) - bound, 0.0)) / own[:, j]
+                move = to - at[:, j]
+                at[:, j] = to
+                pull += h[:, :, j] * move[:, None]
+                largest = np.maximum(largest, np.abs(move) * np.sqrt(own[:, j]))
+            first = largest if first is None else first
+            if (largest <= np.maximum(1e-10, first / 10_000)).all():
+                break
+        new[sparse] = at
     return new
 
 
@@ -147,16 +161,18 @@ def fit_all(train: DataFrame, widths: dict[int, int], settings: list[dict], weig
     l2 = reg - l1
     n = len(settings)
     curved = sum((d + 1) ** 2 for d in widths.values()) * n <= CURVATURE
-    state = {m: {"at": np.zeros((d + 1, n)), "try": np.zeros((d + 1, n)), "value": np.full(n, np.inf), "length": np.ones(n), "done": np.zeros(n, bool), "stiff": np.ones(n)} for m, d in widths.items()}
+    state = {m: {"at": np.zeros((d + 1, n)), "try": np.zeros((d + 1, n)), "goal": np.zeros((d + 1, n)), "value": np.full(n, np.inf), "length": np.ones(n), "done": np.zeros(n, bool), "stiff": np.ones(n)} for m, d in widths.items()}
 
     def penalty(beta: np.ndarray) -> np.ndarray:
         return l1 * np.abs(beta[1:]).sum(axis=0) + l2 / 2 * (beta[1:] ** 2).sum(axis=0)
 
+    many = train.rdd.getNumPartitions() > MERGED
     for _ in range(PASSES if curved else 10 * PASSES):
         open_models = {m: s["try"] for m, s in state.items() if not s["done"].all()}
         if not open_models:
             break
-        sums = one_pass(train.where(F.col("model").isin(list(open_models))), open_models, curved)
+        sums = one_pass(train.where(F.col("model").isin(list(open_models))), open_models, curved, many)
+        ready: dict[int, list[tuple]] = {}
         for m, beta in open_models.items():
             s, d = state[m], widths[m] + 1
             if m not in sums:
@@ -173,18 +189,18 @@ def fit_all(train: DataFrame, widths: dict[int, int], settings: list[dict], weig
                     s["try"][:, i] = s["at"][:, i] + s["length"][i] * (s["goal"][:, i] - s["at"][:, i])
                     continue
                 gain = s["value"][i] - value[i]
-                s["at"][:, i], s["length"][i] = beta[:, i], 1.0
-                s["value"][i] = value[i]
+                if not worse:
+                    s["at"][:, i], s["value"][i] = beta[:, i], value[i]
+                s["length"][i] = 1.0
                 if worse or gain < TOLERANCE * max(1e-3, abs(value[i])):
                     s["done"][i] = True
                     continue
-                if curved:
-                    h = rest[n + d * n :].reshape(n, d, d)[i]
-                else:
-                    h = np.diag(np.full(d, s["stiff"][i]))
-                goal = _proximal_step(beta[:, i], gradient[:, i], h, l1[i], l2[i])
-                s.setdefault("goal", np.zeros((d, n)))[:, i] = goal
-                s["try"][:, i] = goal
+                h = rest[n + d * n :].reshape(n, d, d)[i] if curved else np.diag(np.full(d, s["stiff"][i]))
+                ready.setdefault(d, []).append((m, i, beta[:, i], gradient[:, i], h, l1[i], l2[i]))
+        for rows in ready.values():
+            owner, column, *parts = zip(*rows, strict=True)
+            for m, i, goal in zip(owner, column, _proximal_steps(*map(np.array, parts)), strict=True):
+                state[m]["goal"][:, i] = state[m]["try"][:, i] = goal
     return {m: s["at"] for m, s in state.items()}
 
 
