@@ -102,20 +102,17 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
 def groups(prints: DataFrame, radius: int = 2) -> DataFrame:
     """(doc_id, fp, component_id) for rows (doc_id, fp), whose fingerprints link within ``radius`` bits.
 
-    Documents of one fingerprint are one node, named by their smallest doc_id, so copies are
-    never paired. Rows without a doc_id take part; a group of such rows only has a null
-    component. Repeated rows stay repeated. An empty table gives an empty table.
+    Documents of one fingerprint are one node, so copies are never paired, and nodes are named by their
+    fingerprint, so rows without a doc_id link others like any row; a group of such rows only has a
+    null component. Repeated rows stay repeated. An empty table gives an empty table.
     """
     prints, _ = materialize(prints, "fingerprints")
-    nodes, _ = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
+    nodes, _ = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     edges, _ = materialize(links(nodes, radius), "edges")
-    by_id = edges.join(nodes.select(F.col("fp").alias("x"), F.col("node").alias("a")), "x").join(
-        nodes.select(F.col("fp").alias("y"), F.col("node").alias("b")), "y"
-    ).where("a is not null and b is not null").select("a", "b")
-    found = components(by_id)
-    # A fingerprint that only rows without an id have takes the smallest named neighbour's group.
-    named = nodes.join(found, nodes["node"] == found["node"], "left").select("fp", F.coalesce("component", nodes["node"]).alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    found = components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    named, _ = materialize(nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "named")
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return prints.join(named.join(smallest, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def simhash_query(spark, sf_dir: str) -> DataFrame:
