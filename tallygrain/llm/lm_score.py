@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.llm import bilinear
 from tallygrain.llm.frames import binary_lists, crc_bucket, cut, materialize, per_batch, pick, table
-from tallygrain.llm.vocabularies import held
+from tallygrain.llm.vocabularies import latest
 
 FOLDS = 10
 SMOOTH = 0.1
@@ -32,6 +32,8 @@ END = b""  # no word is empty
 FREQUENT, OWN, CLASSES = 1 << 17, 1023, 512
 #: Documents of the sample that the common start is trained on.
 START_DOCS = 1500
+#: Words whose counts a task holds before it hands them on.
+HELD_WORDS = 100_000
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -47,7 +49,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for text in binary_lists(batch.column("text")):
                 seen.update(text.lower().split())
             seen[END] += batch.num_rows
-            if len(seen) > 500_000:
+            if len(seen) > HELD_WORDS:
                 yield out()
                 seen.clear()
         if seen:
@@ -119,9 +121,12 @@ def train(docs: DataFrame, words: Vocabulary) -> dict[str, np.ndarray]:
     """The averaged model; ``docs`` are the training documents."""
     spark = docs.sparkSession
     model = bilinear.start(words.weights)
-    sample = docs.orderBy(F.xxhash64("doc_id", "text")).limit(START_DOCS).select("text").toArrow()
-    if not sample.num_rows:
+    # Only hashes are sorted; repeated rows are taken once.
+    hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("h"))
+    last = hashed.select("h").distinct().orderBy("h").limit(START_DOCS).agg(F.max("h")).first()[0]
+    if last is None:
         return model
+    sample = hashed.where(F.col("h") <= last).groupBy("h").agg(F.first("text").alias("text")).orderBy("h").select("text").toArrow()
     _, ids, begins = words.encode(binary_lists(sample.column("text").combine_chunks()), words.lookup())
     first = bilinear.Trainer(model, words.weights, 1)
     for _ in range(2):
@@ -187,7 +192,7 @@ def scored(docs: DataFrame) -> DataFrame:
             shift[words.first_class :] = np.log10(words.class_mass)
             return words.lookup(), logs, bilinear.tables(model), shift
 
-        known, logs, look, shift = held(f"lm {name}", tools)
+        known, logs, look, shift = latest("lm", name, tools)
         texts, ids, begins = words.encode(binary_lists(batch.column("text")), known)
         v, u = contexts(ids, begins)
         n = np.diff(np.concatenate([begins, [len(ids)]]))

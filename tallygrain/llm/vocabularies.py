@@ -15,6 +15,15 @@ def held(name: str, make):
     return getattr(store, name)
 
 
+def latest(slot: str, name: str, make):
+    """``make()``, kept in this Python process until the slot is asked for another name."""
+    store = sys.modules.setdefault("tallygrain_worker_store", ModuleType("tallygrain_worker_store"))
+    if (getattr(store, slot, None) or (None,))[0] != name:
+        setattr(store, slot, None)  # the one before goes first
+        setattr(store, slot, (name, make()))
+    return getattr(store, slot)[1]
+
+
 def public_path(name: str) -> str:
     import public_tokenizers
 

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tallygrain.llm import bilinear, lm_score
+from tallygrain.llm import bilinear, lm_score, vocabularies
 
 
 def test_table_probabilities_are_the_normalised_model():
@@ -66,6 +66,27 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert rows.score.sum() > rows.base_score.sum()
 
 
+def test_counts_do_not_depend_on_how_often_they_are_handed_on(real, monkeypatch):
+    whole = {bytes(r.word): r.c for r in lm_score.word_counts(real).collect()}
+    monkeypatch.setattr(lm_score, "HELD_WORDS", 50)
+    assert {bytes(r.word): r.c for r in lm_score.word_counts(real).collect()} == whole
+
+
+def test_repeated_rows_are_learnt_from_once_at_the_start(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "START_DOCS", 3)
+    rows = [(1, "one two three")] * 200 + [(i, f"four five {i}") for i in range(2, 6)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_score.train(docs, lm_score.vocabulary(lm_score.word_counts(docs)))
+    assert all(np.isfinite(v).all() for v in model.values())
+
+
+def test_a_worker_holds_one_model():
+    made = []
+    for name in ("a", "a", "b", "a"):
+        assert vocabularies.latest("test of models", name, lambda name=name: made.append(name) or name) == name
+    assert made == ["a", "b", "a"]
+
+
 def test_probabilities_of_all_next_words_sum_to_one(spark, real):
     counts = lm_score.word_counts(real)
     words = lm_score.vocabulary(counts)
