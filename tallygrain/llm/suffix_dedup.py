@@ -231,6 +231,7 @@ def without_repeats(docs: DataFrame, length: int) -> DataFrame:
 
 
 def suffix_query(spark, sf_dir: str) -> DataFrame:
+    """Digest columns of each document and ``text``, what is left of it at whole characters."""
     docs = keyed(table(spark, sf_dir, "documents"), "doc_id")
     marked = docs.join(repeated_spans(docs, 400), "key", "left").select("doc_id", "text", "spans")
 
@@ -243,6 +244,7 @@ def suffix_query(spark, sf_dir: str) -> DataFrame:
             "n_removed": pa.array([sum(b - a for a, b in r) for r in runs], pa.int64()),
             "n_spans": pa.array(map(len, runs), pa.int64()),
             "kept_sha256": [hashlib.sha256(keep(t, r)).hexdigest() for t, r in zip(texts, runs, strict=True)],
+            "text": [keep(t, whole_characters(t, r)).decode() for t, r in zip(texts, runs, strict=True)],
         }
 
-    return per_batch(marked, rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return per_batch(marked, rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")

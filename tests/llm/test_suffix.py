@@ -84,6 +84,16 @@ def test_real_texts(spark, sf_dir, real):
     assert got == want
 
 
+def test_the_query_tells_what_is_left(spark, sf_dir, real):
+    docs = {r.doc_id: r.text for r in real.collect()}
+    left = {r.doc_id: r.text for r in suffix_dedup.suffix_query(spark, sf_dir).where("n_removed > 0").collect()}
+    seen = Counter(b[i : i + 400] for b in (t.encode() for t in docs.values()) for i in range(len(b) - 399))
+    assert left and all(len(t.encode()) < len(docs[i].encode()) for i, t in left.items())
+    whole = {r.doc_id: (r.text, r.n_bytes) for r in suffix_dedup.suffix_query(spark, sf_dir).where("n_removed = 0").collect()}
+    assert all(docs[i] == t and len(t.encode()) == n for i, (t, n) in whole.items())
+    assert all(seen[b[j : j + 400]] == 1 for b in (docs[i].encode() for i in whole) for j in range(len(b) - 399))
+
+
 def test_empty_table_and_short_length(nothing):
     docs = suffix_dedup.keyed(nothing, "doc_id")
     assert suffix_dedup.repeated_spans(docs, 400).count() == 0
