@@ -51,5 +51,29 @@ with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "Distributed under the MIT License."),
+    ("MIT", "Available under the MIT License."),
+    ("Apache-2.0", "Released under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Distributed under the Apache License, Version 2.0."),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("EPL-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-2.0-or-later", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL-3.0-or-later", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("LGPL-2.1-or-later", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    ("LGPL-3.0-or-later", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    ("AGPL-3.0-or-later", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("LGPL-3.0-or-later", """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General
+Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("EPL-2.0", """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is
+available at https://www.eclipse.org/legal/epl-2.0/"""),
+    ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
     ("All-rights-reserved", "All rights reserved."),
 ]

@@ -1,12 +1,15 @@
 """Licence notices found by conditional compression and confirmed by their exact wording.
 
-Candidate blocks are runs of lines that hold words of licence notices. A text with such words is
-searched as a whole, across blank lines and lines without them: a template whose words differ in at
-most a tenth leaves a run of its words whole, and each such run is a place to look at. There the
-template is compared word by word: a notice is confirmed if the words that differ are few and none of
-them is a number or a name of a licence. The words of a notice are compressed alone and with the
-template as a raw zstandard dictionary; the share of the size saved is given. Blocks grow to the
-notices that reach into them.
+Candidate windows are stretches of words that hold a cue. For templates of some length they are at
+least twice as long as a notice may be and overlap by half, so that every notice lies whole in one.
+A window is compressed alone and with each template of that length as a raw zstandard dictionary;
+the templates are ranked by what they save and confirmed in this order, as long as they save
+anything. A template is confirmed word by word: the words that differ are few, none of them is a
+number or a name of a licence, and no negation stands before it. Articles and the like don't count,
+nor does the spelling of licence. Of notices that overlap the longest stays, then the one with the
+fewest differences, then the template listed first.
+
+Blocks are runs of lines with cue words, grown to the lines of the notices that reach into them.
 """
 
 from __future__ import annotations
@@ -30,18 +33,39 @@ KEYS = [
     b"copyleft", b"free software", b"unencumbered", b"mozilla", b"apache", b"merchantab",
 ]
 CUES = re.compile(rb"(?<![a-z\x80-\xff])(?:" + b"|".join(map(re.escape, KEYS)) + rb")")
-WORD = re.compile(r"[a-z]+|\d+(?:\.\d+)*")
 #: One of these sets of words is in a text that is searched, however its lines are broken.
 SIGNS = [k.split() for k in KEYS if k != b"as is"]
 BYTE_WORD = re.compile(rb"[a-z]+|\d+(?:\.\d+)*")
 #: Share of a template's words that may differ.
 DIFFERENT = 0.1
+#: Words that may come or go in a notice.
+PLAIN = set("a an the this is version v".split())
+SAME = {"licence": "license", "licenced": "licensed", "licences": "licenses"}
+#: Beginnings of words that make a window a candidate.
+CUE_WORD = re.compile("licen|copyright|reserved|domain|spdx|warrant|redistribut|permi|commons|cc|gpl|noninfring|liab|sublicen|hereby|furnish|software|disclaim|distribut|waive|rights|accompan|eclipse|program|mozilla|mpl|apache|merchantab|condition")
+#: Before a notice, in the same sentence, these words deny it.
+NEGATIONS = set("not never no nor without t cannot".split())
+#: The level that finds also short matches in short windows: lower ones save nothing by some notices of four words.
+LEVEL = 19
+#: Shortest window, in words.
+WINDOW = 16
 #: Words that make another licence of a wording; they may not differ.
 TELLING = set("no not non without nc nd sa by cc0 lesser affero gpl lgpl agpl mit bsd apache mozilla isc sharealike noncommercial noderivatives noderivs".split())
 
 
+def words_at(text: bytes) -> tuple[list[str], list[tuple[int, int]]]:
+    """The words of a lower-case text that count, and where their bytes are."""
+    words, at = [], []
+    for m in BYTE_WORD.finditer(text):
+        word = m[0].decode()
+        if word not in PLAIN:
+            words.append(SAME.get(word, word))
+            at.append(m.span())
+    return words, at
+
+
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return words_at(text.lower().encode())[0]
 
 
 def candidate_blocks(text: bytes) -> list[tuple[int, bytes]]:
@@ -76,25 +100,46 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES):
         self.names = [n for n, _ in templates]
         self.words = [words_of(t) for _, t in templates]
-        forms = [" ".join(w).encode() for w in self.words]
-        self.alone = zstandard.ZstdCompressor(level=3)
-        self.given = [
-            zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(f, dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for f in forms
-        ]
-        self.known: dict[str, list[Match]] = {}
+        self.alone = zstandard.ZstdCompressor(level=LEVEL)
+        self.given = []
+        for words in self.words:
+            given = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            given.precompute_compress(level=LEVEL)
+            self.given.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=given))
         #: Words that may differ, and words of a run that is then whole somewhere, of each template.
         self.may = [int(DIFFERENT * len(w)) for w in self.words]
         self.run = [-(-(len(w) - d) // (d + 1)) for w, d in zip(self.words, self.may, strict=True)]
         self.places: dict[tuple[str, str], list[tuple[int, int]]] = {}
+        #: The templates of each window size.
+        self.sizes: dict[int, list[int]] = {}
         for i, w in enumerate(self.words):
+            if self.run[i] < 2:
+                raise ValueError("a template needs two words that count")
             for q in range(len(w) - self.run[i] + 1):
                 self.places.setdefault((w[q], w[q + 1]), []).append((i, q))
+            size = WINDOW
+            while size < 2 * (len(w) + self.may[i]):
+                size *= 2
+            self.sizes.setdefault(size, []).append(i)
+        self.known: dict[tuple[int, str], list[tuple[int, int]]] = {}
+
+    def ranked(self, form: str, size: int) -> list[tuple[int, int]]:
+        """(bytes saved, template) of the templates of a window size that save any, the most first."""
+        if (size, form) not in self.known:
+            if len(self.known) > 20_000:
+                self.known.clear()
+            block = form.encode()
+            alone = len(self.alone.compress(block))
+            saved = [(alone - len(self.given[i].compress(block)), i) for i in self.sizes[size]]
+            self.known[size, form] = sorted((r for r in saved if r[0] > 0), key=lambda r: (-r[0], r[1]))
+        return self.known[size, form]
 
-    def ranked(self, form: str) -> list[tuple[float, int]]:
-        """(share of the size saved, template), the most first."""
-        block = form.encode()
-        size = len(self.alone.compress(block))
-        return sorted(((1 - len(c.compress(block)) / size, i) for i, c in enumerate(self.given)), key=lambda r: (-r[0], r[1]))
+    def windows(self, words: list[str], size: int) -> list[tuple[int, int]]:
+        """(first word, word after the last) of the windows with cues; they overlap by half."""
+        half = size // 2
+        parts = sorted({p // half for p, w in enumerate(words) if CUE_WORD.match(w)})
+        starts = sorted({max(0, k + d) for k in parts for d in (-1, 0)})
+        return [(k * half, min(len(words), (k + 2) * half)) for k in starts]
 
     def differences(self, words: list[str], lo: int, hi: int, template: list[str]) -> tuple[int, bool, int, int]:
         """(words of ``words[lo:hi]`` that differ, does any of them tell licences apart, first and last matched word)."""
@@ -115,30 +160,45 @@ class Scanner:
         telling = any(w in TELLING or w[0].isdigit() for w in extra + missing) or any(w in TELLING for w in around)
         return len(extra) + len(missing), telling, first, last
 
+    def denied(self, text: bytes, words: list[str], at: list[tuple[int, int]], first: int, last: int) -> bool:
+        """Does a negation stand before the notice, or does its identifier go on behind it?"""
+        before = first > 0 and words[first - 1] in NEGATIONS and not re.search(rb"[.!?;:]", text[at[first - 1][1] : at[first][0]])
+        return before or (words[first] == "spdx" and bool(re.match(rb"\+|[-.]\w", text[at[last - 1][1] :][:2])))
+
+    def confirm(self, text: bytes, words: list[str], at: list[tuple[int, int]], i: int, start: int) -> set[tuple[int, int, int, int, int]]:
+        """Template ``i`` with its first word at ``start``: (order, differences, template, first word, word after the last) of notices."""
+        template, d, out = self.words[i], self.may[i], set()
+        # as long as the template, or with room for words that were put in
+        for room in {0, d}:
+            count, telling, first, last = self.differences(words, max(0, start - room), start + len(template) + room, template)
+            if not telling and count <= d and not self.denied(text, words, at, first, last):
+                out.add((count - len(template), count, i, first, last))
+        return out
+
     def find(self, block: str) -> list[Match]:
         """Confirmed notices of a block in the order they stand; several may stand in one block."""
-        form = " ".join(words_of(block))
-        if form not in self.known:
-            if len(self.known) > 20_000:
-                self.known.clear()
-            self.known[form] = [m for m, _, _ in self.notices(form.split(" "))]
-        return self.known[form]
+        low = block.encode().lower()
+        return [m for m, _, _ in self.notices(low, *words_at(low))]
 
-    def notices(self, words: list[str]) -> list[tuple[Match, int, int]]:
-        """(notice, first word, word after the last) in the order they stand; of those that overlap, the one with the most words."""
+    def notices(self, text: bytes, words: list[str], at: list[tuple[int, int]]) -> list[tuple[Match, int, int]]:
+        """(notice, first word, word after the last) in the order they stand, of a lower-case text with its words."""
         tried, confirmed = set(), set()
-        for p, pair in enumerate(zip(words, words[1:], strict=False)):
-            for i, q in self.places.get(pair, ()):
-                template, n = self.words[i], self.run[i]
-                if (i, p - q) in tried or words[p : p + n] != template[q : q + n]:
-                    continue
-                tried.add((i, p - q))
-                d = self.may[i]
-                # as long as the template, or with room for words that were put in
-                for room in {0, d}:
-                    count, telling, first, last = self.differences(words, max(0, p - q - room), p - q + len(template) + room, template)
-                    if not telling and count <= d:
-                        confirmed.add((count - len(template), count, i, first, last))
+        for size in self.sizes:
+            for lo, hi in self.windows(words, size):
+                held: dict[int, list[int]] = {}
+                for p in range(lo, hi - 1):
+                    for i, q in self.places.get((words[p], words[p + 1]), ()):
+                        if words[p : p + self.run[i]] == self.words[i][q : q + self.run[i]]:
+                            held.setdefault(i, []).append(p - q)
+                for _, i in self.ranked(" ".join(words[lo:hi]), size):
+                    for start in held.get(i, ()):
+                        if (i, start) not in tried:
+                            tried.add((i, start))
+                            confirmed |= self.confirm(text, words, at, i, start)
+        return self.settled(words, confirmed)
+
+    def settled(self, words: list[str], confirmed: set[tuple[int, int, int, int, int]]) -> list[tuple[Match, int, int]]:
+        """Of the confirmed notices that overlap, the first by order, differences and template."""
         taken = bytearray(len(words))
         found = []
         for _, count, i, first, last in sorted(confirmed):
@@ -155,8 +215,8 @@ class Scanner:
         if not any(all(w in low for w in s) for s in SIGNS):
             return []
         spans = [(at, at + len(block), None) for at, block in candidate_blocks(text)]
-        at = [m.span() for m in BYTE_WORD.finditer(low)]
-        for match, first, last in self.notices([low[a:b].decode() for a, b in at]):
+        words, at = words_at(low)
+        for match, first, last in self.notices(low, words, at):
             end = text.find(b"\n", at[last - 1][1])
             spans.append((text.rfind(b"\n", 0, at[first][0]) + 1, len(text) if end < 0 else end, match))
         out: list[tuple[int, int, list[Match]]] = []
@@ -173,7 +233,8 @@ def scanned(docs: DataFrame) -> DataFrame:
     """(doc_id, start, block, licenses array of (license, saved, differences)): one row for each candidate block.
 
     ``start`` is the block's first byte in the UTF-8 text. A block without a confirmed notice has an
-    empty array. Null and empty texts have no blocks.
+    empty array. Null and empty texts have no blocks. Each row is searched by itself, so repeated rows
+    give repeated blocks and a null id stays null; an empty table gives none, further columns are left out.
     """
 
     def rows(batch: pa.RecordBatch) -> dict | None:

@@ -23,9 +23,78 @@ def test_every_template_is_its_own_license(name, text):
 
 
 def test_compression_ranks_the_template_first():
+    for size, held in SCANNER.sizes.items():
+        for i in held:
+            ranks = SCANNER.ranked(" ".join(SCANNER.words[i]), size)
+            own = next(saved for saved, k in ranks if k == i)
+            assert own >= ranks[0][0] - 2  # of wordings that differ by a number, either may be a byte or two ahead
+
+
+def test_every_notice_lies_whole_in_a_window_with_a_cue():
     for i, words in enumerate(SCANNER.words):
-        best = SCANNER.ranked(" ".join(words))[0][1]
-        assert SCANNER.words[best] == words or len(words) < 8 or SCANNER.names[best] == SCANNER.names[i]
+        assert sum(bool(licenses.CUE_WORD.match(w)) for w in words) > SCANNER.may[i], words
+        size = next(n for n, held in SCANNER.sizes.items() if i in held)
+        for before in range(2 * size):
+            text = ["x"] * before + words + ["x"] * size
+            assert any(a <= before and before + len(words) <= b for a, b in SCANNER.windows(text, size))
+
+
+def every_place(text):
+    """All templates compared at all words of a text, without windows and compression."""
+    low = text.encode().lower()
+    words, at = licenses.words_at(low)
+    places = range(-3, len(words))
+    confirmed = set().union(*(SCANNER.confirm(low, words, at, i, p) for i in range(len(SCANNER.words)) for p in places))
+    return [m.license for m, _, _ in SCANNER.settled(words, confirmed)]
+
+
+def test_agrees_with_all_templates_at_all_places():
+    rng = random.Random(9)
+    other = [w for _, t in TEMPLATES for w in t.split()]
+    short = [t for _, t in TEMPLATES if len(t.split()) < 40]
+    for _ in range(30):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            notice = rng.choice(short).split()
+            for _ in range(rng.randrange(3)):
+                p = rng.randrange(len(notice))
+                notice[p : p + rng.randrange(2)] = [rng.choice(other)] * rng.randrange(2)
+                notice = notice or ["x"]
+            words += [rng.choice(other) for _ in range(rng.randrange(20))] + notice
+        text = " ".join(words)
+        assert found(text) == every_place(text), text
+
+
+def test_templates_save_wherever_they_stand():
+    """Windows full of words of other notices, with a whole short notice anywhere in them."""
+    rng = random.Random(12)
+    other = [w for words in SCANNER.words for w in words]
+    for size, held in SCANNER.sizes.items():
+        for i in held if size <= 32 else []:
+            for _ in range(100):
+                around = [rng.choice(other) for _ in range(size - len(SCANNER.words[i]))]
+                at = rng.randrange(len(around) + 1)
+                assert i in [r[1] for r in SCANNER.ranked(" ".join(around[:at] + SCANNER.words[i] + around[at:]), size)]
+
+
+def test_usual_variants_are_found():
+    assert found("Licensed under the MIT License.") == found("Distributed under the MIT License") == found("Released under MIT License") == ["MIT"]
+    assert found("Licensed under the Apache License 2.0") == found("Licensed under Apache Licence v2.0.") == ["Apache-2.0"]
+    assert found("SPDX-License-Identifier: BSD-3-Clause") == ["BSD-3-Clause"]
+    assert found("# SPDX-License-Identifier: GPL-3.0-or-later\n") == ["GPL-3.0-or-later"]
+    assert found("This work is licensed under the Creative Commons Attribution 4.0 International License.") == ["CC-BY-4.0"]
+
+
+def test_negations_and_longer_identifiers_are_not_found():
+    assert found("not all rights reserved") == found("It isn't licensed under the MIT License.") == []
+    assert found("This work is not licensed under a Creative Commons Attribution 4.0 International License.") == []
+    assert found("Use it or not. All rights reserved.") == ["All-rights-reserved"]
+    assert found("SPDX-License-Identifier: MIT-0") == found("SPDX-License-Identifier: BSD-3-Clause-Clear") == []
+
+
+def test_ties_go_to_the_template_listed_first():
+    same = licenses.Scanner([("one", "Released under the X1 License."), ("two", "Released under an X1 licence")])
+    assert [m.license for m in same.find("released under the X1 license")] == ["one"]
 
 
 def test_wording_decides():
@@ -58,6 +127,9 @@ def test_real_rows(spark, sf_dir, real):
 def test_awkward_rows(spark, awkward, nothing):
     assert licenses.scanned(awkward).where("size(licenses) > 0").count() == 0
     assert licenses.scanned(nothing).count() == 0
+    text = "Licensed under the MIT License. " + "word " * 400_000 + "\nAll rights reserved."
+    long = spark.createDataFrame([(1, text, "x", "y")] * 2, "doc_id long, text string, block string, licenses string")
+    assert sorted([m.license for m in r.licenses] for r in licenses.scanned(long).collect()) == [["MIT", "All-rights-reserved"]] * 2
     odd = spark.createDataFrame([(None, "All rights reserved."), (1, "Released under the MIT License.\n" * 3), (1, None)], "doc_id long, text string")
     rows = sorted(licenses.scanned(odd).collect(), key=lambda r: r.start + len(r.block))
     assert [[m.license for m in r.licenses] for r in rows] == [["All-rights-reserved"], ["MIT"] * 3]
