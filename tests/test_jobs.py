@@ -225,6 +225,39 @@ def test_csv_columns_are_matched_by_name(spark):
         readers.read_csv_typed(spark, other, readers.submission_schema())
 
 
+def write_lines(spark, folder, files):
+    for lines in files:
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def test_untyped_folders_are_matched_by_name(spark):
+    folder = scratch_path(spark, "orders")
+    write_lines(spark, folder, [["x,y,d", "1,10,2024-01-01"], ["", "y,x,d", "20.5,2,2024-01-02 03:00:00"], ["x,z", "3,word"], [""]])
+    df = readers.read_csv_untyped(spark, folder)
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == {"x": "int", "y": "double", "d": "timestamp", "z": "string"}
+    rows = sorted((r.x, r.y, r.d and str(r.d), r.z) for r in df.collect())
+    assert rows == [(1, 10.0, "2024-01-01 00:00:00", None), (2, 20.5, "2024-01-02 03:00:00", None), (3, None, None, "word")]
+    mixed = scratch_path(spark, "mixed")
+    write_lines(spark, mixed, [["x,y", "1,1"], ["y,x", "a,2"]])
+    assert sorted((r.x, r.y) for r in readers.read_csv_untyped(spark, mixed).collect()) == [(1, "1"), (2, "a")]
+    empty = scratch_path(spark, "empty")
+    write_lines(spark, empty, [[""]])
+    assert readers.read_csv_untyped(spark, empty).collect() == []
+
+
+def test_headers_of_many_files_take_a_job_for_each_different_one(spark):
+    folder = scratch_path(spark, "many")
+    spark.range(60).repartition(60).selectExpr("concat('T', id) AS TransactionId", "cast(id % 2 AS int) AS FraudResult").write.option("header", True).csv(folder)
+    spark.range(60, 80).repartition(20).selectExpr("cast(id % 2 AS int) AS FraudResult", "concat('T', id) AS TransactionId").write.mode("append").option("header", True).option("compression", "gzip").csv(folder)
+    spark.sparkContext.setJobGroup("headers", "")
+    try:
+        df = readers.read_csv_typed(spark, folder, readers.submission_schema())
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) <= 4
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert df.selectExpr("count(DISTINCT TransactionId) AS n", "sum(FraudResult) AS s").first() == (80, 40)
+
+
 def test_modes_are_decided_in_the_type_of_the_column(spark):
     rows = [(9.0, 100, "b"), (10.0, 9, "a"), (9.0, 9, "b"), (10.0, 100, "a"), (float("nan"), None, None), (float("nan"), None, None), (float("nan"), None, None)]
     df = spark.createDataFrame(rows, "x double, n long, s string")
