@@ -62,20 +62,21 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Addit
     """A model of ``labels.quality`` from at most ``fit_rows`` labelled rows outside the held-out fold.
 
     Labels other than 0 and 1 and rows without a doc_id are left out; of several labels for one
-    document the smallest counts. Only features and labels of that bounded sample reach the driver.
+    doc_id the smallest counts, of several texts the one with the smallest hash. Only features and labels of that bounded sample reach the driver.
     """
     known = pick(labels, "doc_id", "quality").where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     chosen = (
         known.where(crc_bucket("doc_id", FOLDS) != 0).groupBy("doc_id").agg(F.min("quality").cast("long").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
-    rows = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y", F.xxhash64("doc_id", "text").alias("tie"))
+    rows = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y", F.xxhash64("doc_id", "text").alias("tie"))
     features = per_batch(
         rows,
-        lambda b: {"tie": b.column("tie"), "y": b.column("y"), "x": pa.array(list(_texts(b)), pa.list_(pa.float64()))},
-        "tie long, y long, x array<double>",
+        lambda b: {"doc_id": b.column("doc_id"), "tie": b.column("tie"), "y": b.column("y"), "x": pa.array(list(_texts(b)), pa.list_(pa.float64()))},
+        f"doc_id {dict(rows.dtypes)['doc_id']}, tie long, y long, x array<double>",
     )
-    sample = features.toArrow().sort_by("tie")
+    one = features.groupBy("doc_id").agg(F.min("tie").alias("tie"), F.min_by(F.struct("y", "x"), "tie").alias("r"))
+    sample = one.select("tie", "r.y", "r.x").toArrow().sort_by("tie")
     x = np.array(sample.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     return fit(x, np.array(sample.column("y").to_pylist(), float))
 

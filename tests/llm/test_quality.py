@@ -54,3 +54,19 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark, real, sf_dir):
     turned = labels.selectExpr("doc_id", f"if(doc_id in ({','.join(map(str, held))}), 1 - quality, quality) as quality", "toxic")
     key = lambda rows: sorted((r.doc_id, r.score) for r in rows)
     assert key(quality.scored(real, labels).collect()) == key(quality.scored(real, turned).collect())
+
+
+def test_a_document_with_many_rows_is_learnt_from_once(spark, monkeypatch):
+    """Only one feature row for each doc_id reaches the driver, however often the document stands in the table."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((x.tolist(), y.tolist())))
+    texts = [(i, f"Document {i} has some words. " * (i % 7 + 1)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, quality int")
+    once = spark.createDataFrame(texts, "doc_id long, text string")
+    often = spark.createDataFrame(texts + texts[:9] * 50, "doc_id long, text string")
+    quality.learn(once, labels)
+    quality.learn(often, labels)
+    assert seen[0] == seen[1] and 20 < len(seen[0][1]) < 40
+    other = spark.createDataFrame([(3, "b"), (3, "a"), (3, None)], "doc_id long, text string")
+    quality.learn(other, spark.createDataFrame([(3, 1)], "doc_id long, quality int"))
+    assert len(seen[2][1]) == 1
