@@ -1,4 +1,10 @@
-"""Near-duplicate groups by an exact prefix join on the rarest word shingles.
+"""Near-duplicate groups by SimHash fingerprints in a grid, and an exact prefix join for what these leave apart.
+
+Candidates come from the fingerprints of ``simhash`` first: texts of one fingerprint, and fingerprints
+that the grid of segment counts brings within a few bits. Each is verified by the exact Jaccard
+similarity. A near copy may lie further off than any small radius, as a handful of edits moves a
+fingerprint by several bits, so an exact join on the rarest word shingles follows for texts that
+are still in different groups.
 
 Two sets with a Jaccard similarity of at least s share all but a share 1 - s of each. Put in one order
 for all texts, the first n - ceil(s * n) + 1 shingles of both therefore have one in common. The order
@@ -29,7 +35,8 @@ from pyspark.sql import functions as F
 
 from tallygrain.llm.frames import binary_lists, cut, materialize, per_batch
 from tallygrain.llm.graph import components
-from tallygrain.llm.simhash import hashes, shingles
+from tallygrain.llm.simhash import fingerprints, hashes, shingles
+from tallygrain.llm.simhash import links as grid_links
 
 #: Parts that shingles are dealt to, and texts of a chunk, as bits.
 PART_BITS, CHUNK_BITS = 10, 9
@@ -39,6 +46,8 @@ HOME_BITS = 33
 WORDS = 16
 #: Rounds against central texts at most, and pairs for each row from which on another round is worth it.
 ROUNDS, WORTH = 4, 4
+#: Rows of a table of numbers that is broadcast at most.
+SMALL = 250_000
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -156,8 +165,17 @@ def prefixes(texts: DataFrame, size: int, similarity: float) -> DataFrame:
     return found
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets (id, set) have at least this Jaccard similarity."""
+def _small(rows: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(rows) if n <= SMALL else rows
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float, n: int | None = None) -> DataFrame:
+    """The pairs (a, b) whose shingle sets (id, set) have at least this Jaccard similarity.
+
+    Of few pairs (``n``, if known) only the sets that stand in them travel.
+    """
+    if n is not None and n <= SMALL:
+        sets = sets.join(F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("id"))), "id", "left_semi")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"
     )
@@ -175,11 +193,29 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return per_batch(both.select("a", "b", "sa", "sb"), compare, "a long, b long")
 
 
-def near_duplicate_groups(texts: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+def close_prints(texts: DataFrame, radius: int = 2) -> DataFrame:
+    """Pairs (a, b), a < b, of (id, text) by SimHash fingerprint, not verified.
+
+    Each text of a fingerprint stands against the one with the smallest id, and these against
+    those of the fingerprints that the grid finds within ``radius`` bits.
+    """
+    count = F.count(F.lit(1))
+    prints, _ = materialize(fingerprints(texts.select(F.col("id").alias("doc_id"), "text")), "fingerprints")
+    nodes, several = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), count.alias("n")), "nodes", {"n": F.count_if(F.col("n") > 1)})
+    shared = nodes.where("n > 1").select("fp", "node")
+    equal = prints.join(_small(shared, several["n"]), "fp").where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    edges, found = materialize(grid_links(nodes, radius), "edges", {"n": count})
+    firsts = nodes.select(F.col("fp").alias("x"), F.col("node").alias("p")).join(_small(edges, found["n"]), "x")
+    both = nodes.select(F.col("fp").alias("y"), F.col("node").alias("q")).join(_small(firsts, found["n"]), "y")
+    return equal.union(both.select(F.least("p", "q"), F.greatest("p", "q")))
+
+
+def near_duplicate_groups(texts: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 2) -> DataFrame:
     """(node, component) of texts with a near copy, for rows (id, text) of different texts.
 
     ``id`` is of monotonically_increasing_id. Texts of fewer than ``size`` words are one shingle;
-    empty texts have no near copies.
+    empty texts have no near copies. ``radius`` (0 to 3) is that of the fingerprints and doesn't
+    alter the groups, only how many of their links the fingerprints find.
     """
     rows, _ = materialize(prefixes(texts, size, similarity), "prefixes")
     several = rows.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("token")
@@ -199,14 +235,18 @@ def near_duplicate_groups(texts: DataFrame, size: int = 5, similarity: float = 0
         found, _ = materialize(components(links), "groups")
         return found
 
-    links, tried, rest = None, None, lists.withColumn("group", F.col("id"))
+    # A near copy has a prefix shingle in common, so a text without a set here has none.
+    tried, close = materialize(close_prints(texts, radius), "close", {"n": F.count(F.lit(1))})
+    links, _ = materialize(verified(tried, sets, similarity, close["n"]), "links")
+    rest = lists.withColumn("group", F.col("id"))
     for _ in range(ROUNDS):
         best = rest.groupBy("token").agg(F.max(F.struct("score", "id", "n")).alias("best"))
         best = best.select("token", F.col("best.id").alias("central"), F.col("best.n").alias("m"))
         near = rest.join(best, "token").where(F.col("id") != F.col("central")).where(alike("n", "m"))
-        pairs, _ = materialize(near.select(F.least("id", "central").alias("a"), F.greatest("id", "central").alias("b")).distinct(), "pairs")
+        pairs = near.select(F.least("id", "central").alias("a"), F.greatest("id", "central").alias("b")).distinct()
+        pairs, _ = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         good, _ = materialize(verified(pairs, sets, similarity), "links")
-        links, tried = (links.union(good), tried.union(pairs)) if links else (good, pairs)
+        links, tried = links.union(good), tried.union(pairs)
         groups = grouped(links)
         named = groups.select(F.col("node").alias("id"), F.col("component"))
         with_group = lambda df, named=named: df.drop("group").join(named, "id", "left").withColumn("group", F.coalesce("component", "id")).drop("component")
@@ -232,8 +272,8 @@ def near_duplicate_groups(texts: DataFrame, size: int = 5, similarity: float = 0
         different <= total * ((1 - similarity) / (1 + similarity)) + 1e-6,
     ]
     cross = x.join(y, reduce(and_, bounds)).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    pairs, _ = materialize(cross.join(tried, ["a", "b"], "left_anti"), "pairs")
-    good, _ = materialize(verified(pairs, sets, similarity), "links")
+    pairs, last = materialize(cross.join(tried, ["a", "b"], "left_anti"), "pairs", {"n": F.count(F.lit(1))})
+    good, _ = materialize(verified(pairs, sets, similarity, last["n"]), "links")
     return components(links.union(good))
 
 

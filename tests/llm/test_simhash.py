@@ -193,3 +193,42 @@ def test_rows_without_id_pass_links_on(spark):
     rows = [(5, 0b00000), (None, 0b00011), (9, 0b01111), (None, 0b11111 << 40), (None, 0b111111 << 40)]
     got = sorted((r.doc_id or -1, r.fp, r.component_id) for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, fp long"), 2).collect())
     assert got == sorted([(5, 0, 5), (-1, 3, 5), (9, 15, 5), (-1, 0b11111 << 40, None), (-1, 0b111111 << 40, None)], key=lambda r: (r[0], r[1]))
+
+
+@pytest.mark.parametrize("small", [0, neardup.SMALL])
+def test_near_copies_come_from_the_fingerprints_first(spark, monkeypatch, small):
+    """Copies edited at an end lie in the grid's reach; what the fingerprints link isn't joined on shingles again."""
+    rng = random.Random(14)
+    rows = {}
+    for i in range(60):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(400)]
+        rows |= {3 * i: " ".join(words), 3 * i + 1: " ".join([*words[:-1], f"x{i}"]), 3 * i + 2: " ".join([*words[:150], *(f"z{i}y{k}" for k in range(30)), *words[180:]])}
+    asked = []
+
+    def noted(pairs, *others, verified=neardup.verified):
+        good = verified(pairs, *others)
+        asked.append(({tuple(r) for r in pairs.select("a", "b").collect()}, {tuple(r) for r in good.collect()}))
+        return good
+
+    monkeypatch.setattr(neardup, "SMALL", small)
+    monkeypatch.setattr(neardup, "verified", noted)
+    texts = spark.createDataFrame(list(rows.items()), "id long, text string")
+    found = {r.node: r.component for r in neardup.near_duplicate_groups(texts).collect()}
+    prints = {i: brute_print(t, 3) for i, t in rows.items()}
+    first = {fp: min(i for i in rows if prints[i] == fp) for fp in prints.values()}
+    close = {p for p in itertools.combinations(sorted(first.values()), 2) if (prints[p[0]] ^ prints[p[1]]).bit_count() <= 2}
+    close |= {(first[fp], i) for i, fp in prints.items() if first[fp] != i}
+    assert asked[0][0] == close and len(asked[0][1]) >= 20
+    assert not any(asked[0][1] & more for more, _ in asked[1:])
+    assert any(good for _, good in asked[1:])
+    sets = {i: shingle_set(t) for i, t in rows.items()}
+    near = [(a, b) for a, b in itertools.combinations(sorted(rows), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert found == roots({x for p in near for x in p}, near)
+
+
+def test_close_prints_stand_against_one_text_of_a_fingerprint(spark):
+    words = " ".join(f"w{k}" for k in range(300))
+    rows = [(0, words), (1, words.upper()), (2, words.replace(" ", "\n")), (3, " \n"), (4, "other words here"), (5, "\t")]
+    got = {tuple(r) for r in neardup.close_prints(spark.createDataFrame(rows, "id long, text string")).collect()}
+    assert got == {(0, 1), (0, 2), (3, 5)}
+    assert {r.doc_id for r in neardup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0, 3, 4, 5}
