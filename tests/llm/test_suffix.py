@@ -118,3 +118,24 @@ def test_without_repeats_cuts_whole_characters(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in suffix_dedup.without_repeats(docs, 400).collect()}
     # è and ê start with the same byte as é, à and ü do, but no whole character of theirs repeats
     assert got == {1: ("aèb", 3), 2: ("cêd", 3), 3: ("", 0)}
+
+
+def test_the_pipeline_shuffles_texts_once_and_writes_no_regions(spark, real, monkeypatch):
+    written, plan = ran(spark, lambda: suffix_dedup.without_repeats(real, 256), monkeypatch)
+    assert written == [("regions", ["key", "start", "n", "gram"]), ("grams", ["gram"])]
+    assert len([x for x in plan if "FileScan" in x and "text#" in x]) == 1
+    assert len([x for x in plan if "ReusedExchange" in x and "text#" in x]) == 2
+
+
+def ran(spark, frame, monkeypatch):
+    """(label, columns) of the tables that a query wrote, and the lines of its final plan without broadcasts."""
+    written, write = [], suffix_dedup.materialize
+    monkeypatch.setattr(suffix_dedup, "materialize", lambda df, label: written.append((label, df.columns)) or write(df, label))
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = frame()
+        assert df.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    return written, df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
