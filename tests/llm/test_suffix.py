@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tallygrain.llm import suffix_dedup, suffix_sort
+from tallygrain.llm import frames, suffix_dedup, suffix_sort
 
 
 @pytest.mark.parametrize("alphabet", [b"a", b"ab", b"abc\x00\xff", bytes(range(256))])
@@ -127,6 +127,25 @@ def test_the_pipeline_shuffles_texts_once_and_writes_no_regions(spark, real, mon
     assert len([x for x in plan if "ReusedExchange" in x and "text#" in x]) == 2
 
 
+def test_op4_shuffles_texts_once_and_regions_once(spark, sf_dir, monkeypatch):
+    written, plan = ran(spark, lambda: suffix_dedup.suffix_query(spark, sf_dir), monkeypatch)
+    assert [label for label, _ in written] == ["regions", "grams"]
+    assert len([x for x in plan if "FileScan" in x and "text#" in x]) == 1
+    assert len([x for x in plan if "ReusedExchange" in x and "text#" in x]) == 2
+    dealt = [x for x in plan if "Exchange hashpartitioning(gram#" in x and "Reused" not in x]
+    assert len([x for x in dealt if "REPARTITION_BY_COL" in x]) == 1 and not [x for x in dealt if "region#" in x]
+
+
+def test_regions_of_many_batches_are_counted_together(spark, monkeypatch):
+    monkeypatch.setattr(frames, "BATCH_ROWS", "2")
+    rng = random.Random(12)
+    some = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    passage, copy = some(700), some(900)
+    texts = [*[some(50) + passage + some(60) for _ in range(9)], *[copy] * 7, passage * 3, some(2000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert sorted(query(docs, 400)) == sorted(brute([t.encode() for t in texts], 400))
+
+
 def ran(spark, frame, monkeypatch):
     """(label, columns) of the tables that a query wrote, and the lines of its final plan without broadcasts."""
     written, write = [], suffix_dedup.materialize
