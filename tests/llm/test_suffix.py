@@ -146,6 +146,40 @@ def test_regions_of_many_batches_are_counted_together(spark, monkeypatch):
     assert sorted(query(docs, 400)) == sorted(brute([t.encode() for t in texts], 400))
 
 
+def test_what_very_many_texts_share_is_dealt_by_pieces(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWD", 6)
+    rng = random.Random(13)
+    some = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    passage, line = some(1500), some(90)
+    pairs = [(some(300), some(300)) for _ in range(20)]
+    texts = [some(200) + before + passage + after + some(40) for before, after in pairs * 2]
+    texts += [some(450) + passage + some(450) for _ in range(30)] + [some(400) + line * 12 + some(400) for _ in range(12)] + [passage, passage]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert sorted(query(docs, 400)) == sorted(brute([t.encode() for t in texts], 400))
+    keyed = suffix_dedup.keyed(docs, "doc_id")
+    of = {bytes(r.key): r.text.encode() for r in keyed.collect()}
+    meeting = {}
+    for r in suffix_dedup.candidates(keyed, 400).collect():
+        meeting.setdefault(r.gram, set()).add(of[bytes(r.key)][r.start : r.start + r.n + 399])
+    assert {len(b) for bodies in meeting.values() for b in bodies} >= {400, 431}
+    assert max(map(len, meeting.values())) <= 6 + 1  # crowds are counted by sketch
+
+
+@pytest.mark.parametrize("width", [32, 1])
+def test_pieces_cover_a_region_once_and_equal_strings_share_their_name(width):
+    rng = random.Random(14)
+    some = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    part = some(700)
+    text = some(333) + part + some(777) + part + some(100)
+    names = {}
+    for found in suffix_dedup.placed_regions(text, 400):
+        for start, n, _, gram in zip(*(x.tolist() for x in found), strict=True):
+            got = [(i, name) for a, m, name in suffix_dedup.pieces(text, start, n, gram, 400, width) for i in range(a, a + m)]
+            assert sorted(i for i, _ in got) == list(range(start, start + n))
+            names |= dict(got)
+    assert all(names[333 + i] == names[333 + 700 + 777 + i] for i in range(301))
+
+
 def ran(spark, frame, monkeypatch):
     """(label, columns) of the tables that a query wrote, and the lines of its final plan without broadcasts."""
     written, write = [], suffix_dedup.materialize
