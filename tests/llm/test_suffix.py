@@ -163,6 +163,8 @@ def test_what_very_many_texts_share_is_dealt_by_pieces(spark, monkeypatch):
         meeting.setdefault(r.gram, set()).add(of[bytes(r.key)][r.start : r.start + r.n + 399])
     assert {len(b) for bodies in meeting.values() for b in bodies} >= {400, 431}
     assert max(map(len, meeting.values())) <= 6 + 1  # crowds are counted by sketch
+    left = lambda cut: {(bytes(r.key), x) for r in suffix_dedup.repeated_spans(keyed, 400, cut).collect() for x in suffix_dedup.merged(r.spans)}
+    assert left(True) == left(False)
 
 
 @pytest.mark.parametrize("width", [32, 1])
