@@ -70,6 +70,67 @@ def test_gradient_steps_where_curvatures_are_too_many(labelled, folded, monkeypa
     assert np.abs(slow - fast).max() < 0.05
 
 
+def test_classes_that_part_take_few_passes(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(900, 3)) * [1, 3, 0.5] + [0.4, 0, 2]
+    x[:, 2] = 5.0  # a constant column has no part in it
+    rows = [(i, *map(float, x[i]), int(x[i, 0] > 0.1)) for i in range(len(x))]
+    df = train.add_class_weight(spark.createDataFrame(rows, "k long, a double, b double, c double, y int"), "y")
+    table, widths = grid_logistic.fold_rows(split.stratified_folds(df, "k", "y", 2, 42, "fold"), train.standard_head(["a", "b", "c"]), "y", train.WEIGHT, "features", [0, 1])
+    passes, one_pass = [], grid_logistic.one_pass
+    monkeypatch.setattr(grid_logistic, "one_pass", lambda *a: passes.append(0) or one_pass(*a))
+    grid = [{"C": c, "penalty": p} for c in (0.1, 10) for p in ("l1", "l2")]
+    weight_sum = 1e6  # so weak a penalty that the coefficients get large
+    betas = grid_logistic.fit_all(table.where("not held"), widths, grid, weight_sum)
+    assert len(passes) < 30
+    for m, beta in betas.items():  # and at the end no setting has a slope left
+        sums = one_pass(table.where(f"not held and model = {m}"), {m: beta}, False, False)[m]
+        slopes = (sums[1 + len(grid) :] / sums[0]).reshape(4, len(grid))
+        for i, s in enumerate(grid):
+            reg, b = 1 / (s["C"] * weight_sum), beta[1:, i]
+            pull = np.sign(b) * reg if s["penalty"] == "l1" else reg * b
+            free = b != 0
+            assert np.abs(b).max() > 5 and abs(slopes[0, i]) < 5e-2 * reg * np.abs(b).max()
+            assert np.abs(slopes[1:, i] + pull)[free].max() < 5e-2 * reg * (1 if s["penalty"] == "l1" else np.abs(b).max())
+            assert (np.abs(slopes[1:, i])[~free] <= 1.01 * reg).all()
+
+
+def test_steps_of_columns_that_go_along_with_the_intercept():
+    rng = np.random.default_rng(2)
+    x = np.column_stack([np.ones(300), rng.normal(size=(300, 5)) * [1e-3, 1, 1, 1, 1] + [0.5, 0, 0, 0, 0]])
+    x[:, 3] = x[:, 2] + 1e-2 * x[:, 3]
+    h, beta, gradient, bound = x.T @ x / 300, rng.normal(size=6), rng.normal(size=6) * [1, 0.5, 1, 1, 1, 1e-3], 0.05
+    got = grid_logistic._proximal_steps(beta[None], gradient[None], h[None], np.array([bound]), np.array([0.0]))[0]
+    slope = gradient + h @ (got - beta)
+    free = got[1:] != 0
+    assert abs(slope[0]) < 1e-4 and np.allclose(slope[1:][free], -bound * np.sign(got[1:][free]), atol=1e-4) and (np.abs(slope[1:][~free]) <= bound + 1e-4).all()
+
+
+def test_areas_in_ranges_are_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(grid_logistic, "RANGE_ROWS", 40)
+    monkeypatch.setattr(grid_logistic, "KEPT", 500)
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=600) * 100, rng.integers(0, 3, 600)])
+    rows = [(int(f), True, float(rng.random() < 0.4), 1.0, [float(v) for v in x[i]]) for f in (1, 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "model int, held boolean, y double, w double, x array<double>")
+    blocks = None
+    for f in (1, 2):
+        part = df.where(f"model = {f}").drop("model").repartition(3).mapInArrow(grid_logistic._blocks, "held boolean, rows int, wide int, block binary").select(F.lit(f).alias("model"), "*")
+        blocks = part if blocks is None else blocks.unionAll(part)
+    # Margins far beyond 50, few different ones, and all the same.
+    betas = {f: np.array([[0.0, 1.0, 3.0], [f, 0.0, 0.0], [0.5, 1.0, 0.0]]) for f in (1, 2)}
+    ends = grid_logistic._range_ends(blocks, betas)
+    assert len(ends[1][0]) > 10 and ends[1][0][0] < -50 and len(ends[1][1]) == 3 and list(ends[1][2]) == [3.0]
+    got = grid_logistic.areas(blocks, betas, 3)
+    for f in (1, 2):
+        y = np.array([r[2] for r in rows if r[0] == f])
+        for s in range(3):
+            score = np.column_stack([np.ones(600), x]) @ betas[f][:, s]
+            pos, neg = score[y == 1][:, None], score[y == 0][None]
+            assert got[f, s] == pytest.approx(((pos > neg) + (pos == neg) / 2).mean(), abs=1e-12)
+    assert got[1, 2] == 0.5
+
+
 def test_search_in_time_never_looks_ahead(spark, labelled):
     timed = labelled.withColumn("t", F.timestamp_seconds(1_600_000_000 + F.col("k") * 60))
     for gap in (0, 7, 200):
